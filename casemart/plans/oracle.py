@@ -127,8 +127,9 @@ FROM orders WHERE o_orderdate IS NOT NULL
 GROUP BY year(o_orderdate), month(o_orderdate)
 """
 
-ORACLE["series_stacked_sheet"] = f"""
-WITH first_years AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders WHERE o_orderdate IS NOT NULL ORDER BY y LIMIT 2)
+FIRST_YEARS_CTE = ("first_years AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders "
+                   "WHERE o_orderdate IS NOT NULL ORDER BY y LIMIT 2)")
+SERIES_STACKED_BODY = f"""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, {S.month_label('month(o_orderdate)')} AS mes,
        CAST(month(o_orderdate) AS INTEGER) AS ordem_mes, CAST(count(*) AS INTEGER) AS casos,
        CAST(CASE WHEN o_orderstatus = 'P' AND year(o_orderdate) IN (SELECT y FROM first_years) THEN 0
@@ -137,3 +138,4 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, {S.month_label('month(o_orderd
 FROM orders WHERE o_orderdate IS NOT NULL AND o_orderstatus IN ('F', 'O', 'P')
 GROUP BY o_orderstatus, year(o_orderdate), month(o_orderdate)
 """
+ORACLE["series_stacked_sheet"] = f"WITH {FIRST_YEARS_CTE} {SERIES_STACKED_BODY}"

@@ -154,3 +154,274 @@ def linelist_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     from casemart.plans.world import UNDATED_REFERENCE_YEAR, UNDATED_SOURCE
     return FX.clean_undated_linelist(World(spark, sf_dir).raw_undated_cases(), UNDATED_SOURCE,
                                      UNDATED_REFERENCE_YEAR)
+
+
+# ------------------------------------------------ phase 3-5: the case data mart
+
+def _mart(spark: SparkSession, sf_dir: str):
+    from casemart.plans.mart import CaseMart
+    from casemart.plans.world import DATED_SOURCE, UNDATED_REFERENCE_YEAR, UNDATED_SOURCE
+    w = World(spark, sf_dir)
+    series = {"pedidos": R.series_from_sheet(w.monthly_sheet(), "_c0", w.series_layout(), "pedidos"),
+              "status_pedidos": R.series_from_stacked_sheet(w.stacked_sheet(), "row_id", "_c0", w.stacked_layout())}
+    dated = FX.clean_dated_linelist(w.raw_dated_cases(), DATED_SOURCE)
+    undated = FX.clean_undated_linelist(w.raw_undated_cases(), UNDATED_SOURCE, UNDATED_REFERENCE_YEAR)
+    mart = CaseMart(series, dated, undated, dated_source=f"{DATED_SOURCE}_espacial",
+                    undated_source=f"{UNDATED_SOURCE}_espacial", undated_reference_year=UNDATED_REFERENCE_YEAR)
+    return w, mart
+
+
+def _spatial(spark: SparkSession, sf_dir: str, approve: bool = False):
+    from casemart.functions.geo import FALLBACK_LAT, FALLBACK_LON
+    from casemart.plans.mart import SpatialMart
+    w, mart = _mart(spark, sf_dir)
+    canonical = w.canonical_places()
+    sm = SpatialMart(mart, canonical, w.alias_rules(), w.manual_rules(), w.geocoder_candidates(),
+                     manual_points=w.manual_points(canonical), approve_geocoding=approve)
+    # reviewer corrections: even-numbered places found outside the box are
+    # pinned to the municipal centre
+    sm.corrections = (sm.draft.filter((F.col("geocode_status") == "found_outside_bbox")
+                                      & (F.col("id_bairro_canonico") % 2 == 0))
+                      .select("bairro", F.lit(FALLBACK_LAT).alias("manual_latitude"),
+                              F.lit(FALLBACK_LON).alias("manual_longitude"),
+                              F.lit("manual review").alias("manual_source")))
+    return w, mart, sm
+
+
+@query("mart_dim_place")
+def mart_dim_place(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].dim_bairro
+
+
+@query("mart_dim_sex")
+def mart_dim_sex(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].dim_sexo
+
+
+@query("mart_dim_category")
+def mart_dim_category(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].dim_doenca
+
+
+@query("mart_dim_time")
+def mart_dim_time(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].dim_tempo
+
+
+@query("mart_fact_series")
+def mart_fact_series(spark, sf_dir):
+    m = _mart(spark, sf_dir)[1]
+    parts = [m.series_fact(f).withColumn("fonte", F.lit(f)) for f in m.series]
+    return parts[0].unionByName(parts[1])
+
+
+@query("mart_fact_dated")
+def mart_fact_dated(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].dated_fact
+
+
+@query("mart_fact_undated")
+def mart_fact_undated(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].undated_fact
+
+
+@query("vw_serie_temporal")
+def vw_serie_temporal(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].serie_temporal()
+
+
+@query("vw_casos_espaciais")
+def vw_casos_espaciais(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].casos_espaciais()
+
+
+@query("vw_casos_espaciais_serving")
+def vw_casos_espaciais_serving(spark, sf_dir):
+    from casemart.plans.world import DATED_SOURCE, UNDATED_SOURCE
+    return _mart(spark, sf_dir)[1].casos_espaciais(labels=(DATED_SOURCE, UNDATED_SOURCE), keep_ids=True,
+                                                   undated_year_month_text=True)
+
+
+@query("null_key_audit")
+def null_key_audit(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].null_key_audit()
+
+
+@query("row_preservation")
+def row_preservation(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].row_preservation()
+
+
+@query("series_summary")
+def series_summary(spark, sf_dir):
+    from casemart.operators.quality import series_summary as summ
+    m = _mart(spark, sf_dir)[1]
+    s = m.series["pedidos"].unionByName(m.series["status_pedidos"])
+    return summ(s)
+
+
+# -------------------------------------------------------- record linkage
+
+@query("match_standardized")
+def match_standardized(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].standardized
+
+
+@query("match_fuzzy_top2")
+def match_fuzzy_top2(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].fuzzy_scores()
+
+
+@query("match_summary")
+def match_summary(spark, sf_dir):
+    from casemart.operators.quality import match_summary as ms
+    return ms(_spatial(spark, sf_dir)[2].standardized)
+
+
+@query("match_names_per_canonical")
+def match_names_per_canonical(spark, sf_dir):
+    from casemart.operators.quality import names_per_canonical
+    return names_per_canonical(_spatial(spark, sf_dir)[2].standardized)
+
+
+@query("match_worklist")
+def match_worklist(spark, sf_dir):
+    from casemart.operators.match import worklist
+    return worklist(_spatial(spark, sf_dir)[2].standardized)
+
+
+# ---------------------------------------------------------------- curation
+
+@query("curated_standardized")
+def curated_standardized(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].curated
+
+
+@query("rules_live")
+def rules_live(spark, sf_dir):
+    from casemart.operators.curate import live_rules
+    sm = _spatial(spark, sf_dir)[2]
+    return live_rules(sm.rules, sm.standardized, "bairro_original_key")
+
+
+@query("rules_dead")
+def rules_dead(spark, sf_dir):
+    from casemart.operators.curate import dead_rules
+    sm = _spatial(spark, sf_dir)[2]
+    return dead_rules(sm.rules, sm.standardized, "bairro_original_key")
+
+
+@query("rules_duplicated")
+def rules_duplicated(spark, sf_dir):
+    from casemart.operators.curate import duplicated_rule_keys
+    return duplicated_rule_keys(World(spark, sf_dir).manual_rules(), "bairro_original_key")
+
+
+@query("curation_null_check")
+def curation_null_check(spark, sf_dir):
+    from casemart.operators.quality import curation_null_check as cnc
+    return cnc(_spatial(spark, sf_dir)[2].curated)
+
+
+@query("curated_worklist")
+def curated_worklist(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].worklist()
+
+
+# --------------------------------------------------------------- geocoding
+
+@query("geocode_draft")
+def geocode_draft(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].draft.drop("created_at")
+
+
+@query("geocode_problem_queue")
+def geocode_problem_queue(spark, sf_dir):
+    from casemart.operators.geocode import problem_queue
+    return problem_queue(_spatial(spark, sf_dir)[2].draft)
+
+
+@query("geocode_corrected")
+def geocode_corrected(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].corrected().drop("created_at")
+
+
+@query("geocode_validated")
+def geocode_validated(spark, sf_dir):
+    return _spatial(spark, sf_dir, approve=True)[2].validated().drop("created_at")
+
+
+@query("geocode_status_counts")
+def geocode_status_counts(spark, sf_dir):
+    from casemart.operators.geocode import draft_status_counts
+    return draft_status_counts(_spatial(spark, sf_dir)[2].draft)
+
+
+# ------------------------------------------------- geographic dimension, views
+
+@query("geo_dimension")
+def geo_dimension(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].geo_dim
+
+
+@query("geo_dimension_validated")
+def geo_dimension_validated(spark, sf_dir):
+    return _spatial(spark, sf_dir, approve=True)[2].geo_dim
+
+
+@query("vw_casos_espaciais_geo")
+def vw_casos_espaciais_geo(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].cases_geo
+
+
+@query("vw_mapa_casos_bairro")
+def vw_mapa_casos_bairro(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].map_counts()
+
+
+@query("vw_mapa_casos_bairro_mapeavel")
+def vw_mapa_casos_bairro_mapeavel(spark, sf_dir):
+    from casemart.operators.spatial import mappable_only
+    return mappable_only(_spatial(spark, sf_dir)[2].map_counts())
+
+
+@query("vw_mapa_serving")
+def vw_mapa_serving(spark, sf_dir):
+    from casemart.operators.spatial import mappable_only
+    return mappable_only(_spatial(spark, sf_dir)[2].map_counts(), serving=True)
+
+
+@query("vw_qualidade_espacial")
+def vw_qualidade_espacial(spark, sf_dir):
+    from casemart.operators.spatial import quality_counts
+    return quality_counts(_spatial(spark, sf_dir)[2].cases_geo)
+
+
+@query("vw_qualidade_por_fonte")
+def vw_qualidade_por_fonte(spark, sf_dir):
+    from casemart.operators.spatial import quality_counts
+    return quality_counts(_spatial(spark, sf_dir)[2].cases_geo, by_source=True)
+
+
+@query("mappability_report")
+def mappability_report(spark, sf_dir):
+    from casemart.operators.spatial import mappability_report as mr
+    return mr(_spatial(spark, sf_dir)[2].cases_geo)
+
+
+@query("fatal_checks")
+def fatal_checks(spark, sf_dir):
+    from casemart.operators.quality import fatal_spatial_checks
+    return fatal_spatial_checks(_spatial(spark, sf_dir)[2].cases_geo)
+
+
+@query("non_mappable_by_place")
+def non_mappable_by_place(spark, sf_dir):
+    from casemart.operators.spatial import non_mappable_by_place as nm
+    return nm(_spatial(spark, sf_dir)[2].cases_geo)
+
+
+@query("low_confidence_places")
+def low_confidence_places(spark, sf_dir):
+    from casemart.operators.spatial import low_confidence_places as lc
+    return lc(_spatial(spark, sf_dir)[2].geo_dim)
