@@ -1,29 +1,30 @@
 """Dimensions and surrogate keys.
 
 ``ordinal`` is the scalable replacement for ``row_number() OVER (ORDER BY k)``
-without PARTITION BY, which Spark runs in a single task.  Here the rows are
+without PARTITION BY, which Spark runs in a single task.  The rows are
 range-partitioned on the order columns (sampled bounds, balanced even when
-one key prefix is hot), the bucket of each row is frozen by a reliable
-checkpoint, bucket sizes are counted (one small row per bucket), and each row
-gets ``offset(bucket) + row_number() within its bucket``.  Every step is a
-distributed shuffle; the only global state is one integer per bucket.
+one key prefix is hot) and sorted inside each partition; a reliable
+checkpoint freezes that layout (recomputing a range partitioning could draw
+other bounds).  One tiny job counts the rows of each partition (one integer
+per partition reaches the driver), and each row's position is then
+``offset[partition] + index within the partition`` - a narrow projection
+over the checkpoint: no window, no single-task stage, no second shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casemart.functions.calendar import month_label, year_month_id, year_month_label
 from casemart.functions.text import normalize_key
-from casemart.session import checkpoint_dir, shuffle_partitions
+from casemart.session import checkpoint_dir, freeze, shuffle_partitions
 
-_BUCKET = "_cm_bucket"
-_LOCAL = "_cm_local"
-_OFFSET = "_cm_offset"
+_PID = "_cm_pid"
 
 
 def ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str,
@@ -38,20 +39,16 @@ def ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str,
     checkpoint_dir(spark)
     n = num_buckets or shuffle_partitions(spark)
     ordered = [F.col(c).asc() for c in order_cols]
-    bucketed = (df.repartitionByRange(n, *ordered)
-                .withColumn(_BUCKET, F.spark_partition_id())
-                .checkpoint(eager=True))
-    sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_cm_n"))
-    # one row per bucket: the running total over <= n rows is negligible work
-    offsets = sizes.select(
-        _BUCKET,
-        (F.sum("_cm_n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)))
-        .alias(_OFFSET))
-    local = bucketed.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*ordered)))
-    return (local.join(F.broadcast(offsets), _BUCKET, "left")
-            .withColumn(out_col, (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL)).cast("int"))
-            .drop(_BUCKET, _LOCAL, _OFFSET))
+    frozen = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered).checkpoint(eager=True)
+    sizes = dict(frozen.groupBy(F.spark_partition_id().alias(_PID)).count().collect())
+    parts = frozen.rdd.getNumPartitions()
+    offsets = [0] + list(accumulate(sizes.get(i, 0) for i in range(parts)))[:-1]
+    # monotonically_increasing_id() = (partition index << 33) + row index in
+    # the partition; the checkpoint is read back in the order it was written
+    pid = F.spark_partition_id()
+    index = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), pid + 1)
+    return frozen.withColumn(out_col, (offset + index + 1).cast("int"))
 
 
 def dense_ids(keys: DataFrame, key_col: str, id_col: str,
@@ -100,8 +97,9 @@ def calendar_dimension(series: Sequence[DataFrame] = (), dated: Sequence[tuple[D
               .filter(F.col(year_col).isNotNull() & F.col(ordinal_col).isNotNull())
               .distinct())
     y, m = F.col(year_col), F.col(ordinal_col)
-    return months.select(year_month_id(y, m).alias(id_col), year_col, label_col, ordinal_col,
-                         year_month_label(y, m).alias(year_month_col))
+    # a dimension is a stored table: checkpoint it once (months are few)
+    return freeze(months.select(year_month_id(y, m).alias(id_col), year_col, label_col, ordinal_col,
+                                year_month_label(y, m).alias(year_month_col)))
 
 
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:

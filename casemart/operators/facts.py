@@ -24,8 +24,10 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Da
     big input; above the bound the plain DataFrame is returned and Spark
     plans a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    memo = df.__dict__.setdefault("_cm_row_probe", {})
+    if max_rows not in memo:
+        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if memo[max_rows] else df
 
 
 # ---------------------------------------------------------------- line lists

@@ -29,6 +29,7 @@ from casemart.operators import geocode as G
 from casemart.operators import match as M
 from casemart.operators import quality as Q
 from casemart.operators import spatial as SP
+from casemart.session import freeze
 
 
 @dataclass
@@ -165,17 +166,17 @@ class SpatialMart:
 
     @cached_property
     def standardized(self) -> DataFrame:
-        return M.standardize(self.sources, self.canonical, self.aliases, self.match)
+        return freeze(M.standardize(self.sources, self.canonical, self.aliases, self.match))
 
     def fuzzy_scores(self) -> DataFrame:
-        canonical = M.prepare_canonical(self.canonical)
-        exact = M.alias_and_exact(self.sources, canonical, M.prepare_aliases(self.aliases))
+        canonical = freeze(M.prepare_canonical(self.canonical))
+        exact = freeze(M.alias_and_exact(self.sources, canonical, freeze(M.prepare_aliases(self.aliases))))
         unresolved = exact.filter(F.col("bairro_by_alias").isNull() & F.col("bairro_by_exact").isNull())
         return M.fuzzy_top2(M.fuzzy_candidates(unresolved, canonical, self.match), self.match)
 
     @cached_property
     def curated(self) -> DataFrame:
-        return C.overlay_standardization(self.standardized, self.rules)
+        return freeze(C.overlay_standardization(self.standardized, self.rules))
 
     def worklist(self) -> DataFrame:
         return M.worklist(self.curated, require_geocodable=True)
@@ -189,7 +190,8 @@ class SpatialMart:
         places = self.places()
         variants = G.query_variants(places)
         scored = G.score_candidates(G.parse_candidates(self.candidates))
-        return G.best_candidates(places, variants, scored, "place_key", created_at=F.lit(None).cast("string"))
+        return freeze(G.best_candidates(places, variants, scored, "place_key",
+                                        created_at=F.lit(None).cast("string")))
 
     def corrected(self) -> DataFrame:
         corr = self.corrections if self.corrections is not None else self.draft.sparkSession.createDataFrame(
@@ -205,7 +207,7 @@ class SpatialMart:
         mode = self.source_mode
         if self.approve_geocoding:
             geo, mode = self.validated(), "validated"
-        return SP.geo_dimension(self.mart.dim_bairro, self.curated, geo, self.manual_points, mode)
+        return freeze(SP.geo_dimension(self.mart.dim_bairro, self.curated, geo, self.manual_points, mode))
 
     @cached_property
     def cases_geo(self) -> DataFrame:

@@ -477,3 +477,35 @@ FROM geo_dim_draft
 WHERE is_mappable = false OR spatial_quality IN ('low', 'unresolved')
    OR spatial_status IN ('low_confidence_geocoding', 'missing_coordinates', 'unresolved_name',
                          'not_geocodable_source_name')"""
+
+# ------------------------------------------------- summaries, audits, export
+
+ORACLE["geocode_missing_coordinates"] = f"""WITH {SPATIAL_CTES}
+SELECT id_bairro_canonico, bairro, geocode_status, candidate_score FROM draft
+WHERE latitude IS NULL OR longitude IS NULL"""
+ORACLE["geocode_outside_bbox"] = f"""WITH {SPATIAL_CTES}
+SELECT id_bairro_canonico, bairro, latitude, longitude, display_name, geocode_status FROM draft
+WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND is_inside_bbox = false"""
+ORACLE["match_unmatched"] = f"WITH {SPATIAL_CTES} SELECT * FROM standardized WHERE needs_review = true"
+ORACLE["match_accepted_fuzzy"] = f"WITH {SPATIAL_CTES} SELECT * FROM standardized WHERE match_method = 'fuzzy'"
+ORACLE["linelist_cases_per_place"] = f"""WITH {MART_CTES}
+SELECT doenca, bairro, count(*) AS count
+FROM (SELECT doenca, bairro FROM linelist_dated UNION ALL SELECT doenca, bairro FROM linelist_undated)
+GROUP BY doenca, bairro"""
+
+_FINAL_OBJECTS = [("dim_tempo", "dim_tempo"), ("dim_doenca", "dim_doenca"), ("dim_bairro", "dim_bairro"),
+                  ("dim_sexo", "dim_sexo"), ("dim_bairro_geografica", "geo_dim_draft"),
+                  ("fato_pedidos_final", "fact_pedidos"), ("fato_status_pedidos_final", "fact_status"),
+                  ("fato_dated_final", "fact_dated"), ("fato_undated_final", "fact_undated")]
+_VIEWS = [("vw_serie_temporal", "(SELECT 1 FROM fact_pedidos UNION ALL SELECT 1 FROM fact_status)"),
+          ("vw_casos_espaciais", "casos_espaciais"), ("vw_casos_espaciais_geo", "cases_geo"),
+          ("vw_mapa_casos_bairro", "map_counts")]
+
+
+def _counts(objs) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS object_name, count(*) AS rows FROM {t}" for n, t in objs)
+
+
+ORACLE["row_counts"] = f"WITH {GEO_CTES} {_counts(_FINAL_OBJECTS + _VIEWS)}"
+ORACLE["export_reconcile"] = f"""WITH {GEO_CTES}, c AS ({_counts(_FINAL_OBJECTS)})
+SELECT object_name, rows AS source_rows, rows AS target_rows_after_export, true AS matches FROM c"""

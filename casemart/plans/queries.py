@@ -16,6 +16,7 @@ from casemart.operators import dims as D
 from casemart.operators import facts as FX
 from casemart.operators import reshape as R
 from casemart.plans.world import World
+from casemart.session import stage_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -164,8 +165,11 @@ def _mart(spark: SparkSession, sf_dir: str):
     w = World(spark, sf_dir)
     series = {"pedidos": R.series_from_sheet(w.monthly_sheet(), "_c0", w.series_layout(), "pedidos"),
               "status_pedidos": R.series_from_stacked_sheet(w.stacked_sheet(), "row_id", "_c0", w.stacked_layout())}
-    dated = FX.clean_dated_linelist(w.raw_dated_cases(), DATED_SOURCE)
-    undated = FX.clean_undated_linelist(w.raw_undated_cases(), UNDATED_SOURCE, UNDATED_REFERENCE_YEAR)
+    # the cleaned line lists feed four dimensions and two facts: store them
+    # once as intermediate tables (columnar, so each dimension scan is pruned)
+    dated = stage_table(FX.clean_dated_linelist(w.raw_dated_cases(), DATED_SOURCE), "linelist_dated")
+    undated = stage_table(FX.clean_undated_linelist(w.raw_undated_cases(), UNDATED_SOURCE,
+                                                    UNDATED_REFERENCE_YEAR), "linelist_undated")
     mart = CaseMart(series, dated, undated, dated_source=f"{DATED_SOURCE}_espacial",
                     undated_source=f"{UNDATED_SOURCE}_espacial", undated_reference_year=UNDATED_REFERENCE_YEAR)
     return w, mart
@@ -425,3 +429,82 @@ def non_mappable_by_place(spark, sf_dir):
 def low_confidence_places(spark, sf_dir):
     from casemart.operators.spatial import low_confidence_places as lc
     return lc(_spatial(spark, sf_dir)[2].geo_dim)
+
+
+# ------------------------------------------------- summaries, audits, export
+
+@query("geocode_missing_coordinates")
+def geocode_missing_coordinates(spark, sf_dir):
+    from casemart.operators.geocode import draft_missing_coordinates
+    return draft_missing_coordinates(_spatial(spark, sf_dir)[2].draft)
+
+
+@query("geocode_outside_bbox")
+def geocode_outside_bbox(spark, sf_dir):
+    from casemart.operators.geocode import draft_outside_bbox
+    return draft_outside_bbox(_spatial(spark, sf_dir)[2].draft)
+
+
+@query("match_unmatched")
+def match_unmatched(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].standardized.filter(F.col("needs_review") == F.lit(True))
+
+
+@query("match_accepted_fuzzy")
+def match_accepted_fuzzy(spark, sf_dir):
+    return _spatial(spark, sf_dir)[2].standardized.filter(F.col("match_method") == "fuzzy")
+
+
+@query("linelist_cases_per_place")
+def linelist_cases_per_place(spark, sf_dir):
+    m = _mart(spark, sf_dir)[1]
+    return (m.dated.select("doenca", "bairro").unionByName(m.undated.select("doenca", "bairro"))
+            .groupBy("doenca", "bairro").agg(F.count(F.lit(1)).alias("count")))
+
+
+def _final_objects(spark, sf_dir) -> dict[str, DataFrame]:
+    _, m, sm = _spatial(spark, sf_dir)
+    objs = {"dim_tempo": m.dim_tempo, "dim_doenca": m.dim_doenca, "dim_bairro": m.dim_bairro,
+            "dim_sexo": m.dim_sexo, "dim_bairro_geografica": sm.geo_dim}
+    objs.update({f"fato_{f}_final": m.series_fact(f) for f in m.series})
+    objs["fato_dated_final"] = m.dated_fact
+    objs["fato_undated_final"] = m.undated_fact
+    return objs
+
+
+@query("row_counts")
+def row_counts(spark, sf_dir):
+    """Row-count audit over the final tables and views (one union of counts)."""
+    from casemart.operators.spatial import map_counts
+    from casemart.sources.tables import count_rows
+    _, m, sm = _spatial(spark, sf_dir)
+    objs = _final_objects(spark, sf_dir)
+    objs.update({"vw_serie_temporal": m.serie_temporal(), "vw_casos_espaciais": m.casos_espaciais(),
+                 "vw_casos_espaciais_geo": sm.cases_geo, "vw_mapa_casos_bairro": map_counts(sm.cases_geo)})
+    return count_rows(objs)
+
+
+# Target layout of the serving geographic table (columns of the relational
+# target; ``updated_at`` exists only in the target and is left to its default)
+SERVING_GEO_COLUMNS = ["id_bairro", "id_bairro_canonico", "bairro_padronizado", "latitude", "longitude",
+                       "latitude_plot", "longitude_plot", "is_mappable", "spatial_status", "spatial_quality",
+                       "geocode_source", "updated_at"]
+
+
+@query("export_reconcile")
+def export_reconcile(spark, sf_dir):
+    """Ordered load of the final tables into a parquet target under the
+    checkpoint folder (dimensions before facts), the geographic dimension
+    aligned to the serving layout, then source vs target row counts."""
+    import uuid
+
+    from casemart.plans.reference_data import EXPORT_ORDER
+    from casemart.session import checkpoint_dir
+    from casemart.sources.tables import align_to_target, count_rows, ordered_load, reconcile
+    objs = _final_objects(spark, sf_dir)
+    objs["dim_bairro_geografica"] = align_to_target(objs["dim_bairro_geografica"], SERVING_GEO_COLUMNS).frame
+    order = [n for n in EXPORT_ORDER if n in objs] + [n for n in objs if n not in EXPORT_ORDER]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    ordered_load([(n, objs[n]) for n in order], lambda n, df: df.write.mode("overwrite").parquet(f"{root}/{n}"))
+    target = count_rows({n: spark.read.parquet(f"{root}/{n}") for n in order})
+    return reconcile(count_rows({n: objs[n] for n in order}), target)

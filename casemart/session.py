@@ -59,3 +59,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def freeze(df):
+    """Reliable checkpoint of a stage output (the write-then-reload barrier
+    between pipeline steps): later branches, size probes and retries read
+    the stored result instead of recomputing the lineage, and a lost
+    executor does not lose it (unlike a local checkpoint or a cache)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def stage_table(df, name: str):
+    """Write a stage output as parquet under the shared checkpoint folder and
+    read it back (the intermediate tables of the run book).  Unlike a
+    checkpoint the result is columnar, so later scans prune columns and push
+    filters down."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
