@@ -136,6 +136,13 @@ class Step:
     apply: Callable[[Column], Column]
 
 
+def literal_steps(name: str, rules: Sequence[tuple[str, str]]) -> list[Step]:
+    """Literal substring replacements (no regex): a string without the
+    pattern is passed through without being copied."""
+    return [Step(f"{name}:{p}", (lambda x, p=p, r=r: F.replace(x, F.lit(p), F.lit(r))))
+            for p, r in rules]
+
+
 def regex_steps(name: str, rules: Sequence[tuple[str, str]]) -> list[Step]:
     return [Step(f"{name}:{p}", (lambda x, p=p, r=r: F.regexp_replace(x, p, r)))
             for p, r in rules]
@@ -149,7 +156,7 @@ def fold(steps: Sequence[Step], c: Column) -> Column:
 
 MATCH_PROFILE: list[Step] = (
     [Step("lower_trim", lambda x: F.lower(F.trim(x)))]
-    + regex_steps("mojibake", MATCH_MOJIBAKE_FIXES)
+    + literal_steps("mojibake", MATCH_MOJIBAKE_FIXES)
     + [Step("accents", lambda x: F.translate(x, MATCH_PROFILE_ACCENTED, MATCH_PROFILE_PLAIN)),
        Step("punctuation", lambda x: F.regexp_replace(x, r"[^a-z0-9\s]", " ")),
        Step("spaces", collapse_spaces),

@@ -159,7 +159,42 @@ def linelist_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------ phase 3-5: the case data mart
 
+# Stage outputs of one run of the mart, kept per session like the stored
+# tables of the run book: every view/report query of the same session reads
+# them instead of rebuilding the chain.  The key carries a fingerprint of the
+# input files, so changed inputs rebuild.
+_STAGES: dict[tuple, tuple] = {}
+
+
+def _fingerprint(sf_dir: str) -> tuple:
+    import os
+    out = []
+    for name in ("orders", "lineitem", "part"):
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        try:
+            st = os.stat(path)
+            out.append((name, st.st_size, st.st_mtime_ns))
+        except OSError:          # remote storage: identify by path only
+            out.append((name, path))
+    return tuple(out)
+
+
+def clear_stages() -> None:
+    _STAGES.clear()
+
+
+def _stage_key(spark: SparkSession, sf_dir: str, *extra) -> tuple:
+    return (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir, _fingerprint(sf_dir), *extra)
+
+
 def _mart(spark: SparkSession, sf_dir: str):
+    key = _stage_key(spark, sf_dir, "mart")
+    if key not in _STAGES:
+        _STAGES[key] = _build_mart(spark, sf_dir)
+    return _STAGES[key]
+
+
+def _build_mart(spark: SparkSession, sf_dir: str):
     from casemart.plans.mart import CaseMart
     from casemart.plans.world import DATED_SOURCE, UNDATED_REFERENCE_YEAR, UNDATED_SOURCE
     w = World(spark, sf_dir)
@@ -176,6 +211,13 @@ def _mart(spark: SparkSession, sf_dir: str):
 
 
 def _spatial(spark: SparkSession, sf_dir: str, approve: bool = False):
+    key = _stage_key(spark, sf_dir, "spatial", approve)
+    if key not in _STAGES:
+        _STAGES[key] = _build_spatial(spark, sf_dir, approve)
+    return _STAGES[key]
+
+
+def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
     from casemart.functions.geo import FALLBACK_LAT, FALLBACK_LON
     from casemart.plans.mart import SpatialMart
     w, mart = _mart(spark, sf_dir)

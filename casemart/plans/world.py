@@ -85,12 +85,22 @@ class World:
         return read(self.spark, self.sf_dir, name)
 
     # ------------------------------------------------------------ sheets
+    @cached_property
+    def monthly_orders(self):
+        """Orders and urgent orders per (status, year, month): one scan of
+        orders, partially aggregated, stored once (a few hundred rows)."""
+        from casemart.session import freeze
+        o = self.t("orders").select("o_orderstatus", "o_orderdate", "o_orderpriority")
+        return freeze(o.groupBy(F.col("o_orderstatus").alias("s"), F.year("o_orderdate").alias("y"),
+                                F.month("o_orderdate").alias("m"))
+                      .agg(F.count(F.lit(1)).alias("c"),
+                           F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("d")))
+
     @cached_property
     def order_years(self) -> list[int]:
         """Distinct order years (one column pair each); bounded by the
         calendar span of the data, so collecting them is safe."""
-        rows = (self.t("orders").select(F.year("o_orderdate").alias("y")).distinct()
-                .filter(F.col("y").isNotNull()).orderBy("y").collect())
+        rows = (self.monthly_orders.select("y").distinct().filter(F.col("y").isNotNull()).orderBy("y").collect())
         return [r.y for r in rows]
 
     def _sheet_label(self, m: Column) -> Column:
@@ -102,20 +112,17 @@ class World:
                 .when(m % 2 == 0, F.lower(lab))
                 .otherwise(lab))
 
-    def monthly_sheet(self, status: str | None = None, measure_year_skip: int = 0) -> DataFrame:
+    def monthly_sheet(self, status: str | None = None) -> DataFrame:
         """Wide sheet: ``_c0`` label, then per year ``(_c{2i+1}, _c{2i+2})`` =
         (orders, urgent orders) as text; plus a header and a total row."""
-        o = self.t("orders")
+        mo = self.monthly_orders
         if status is not None:
-            o = o.filter(F.col("o_orderstatus") == status)
-        monthly = (o.groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
-                   .agg(F.count(F.lit(1)).alias("c"),
-                        F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("d")))
+            mo = mo.filter(F.col("s") == status)
+        monthly = mo.groupBy("y", "m").agg(F.sum("c").alias("c"), F.sum("d").alias("d"))
         years = self.order_years
         wide = (monthly.groupBy("m").pivot("y", years)
                 .agg(F.first(thousands(F.col("c"))).alias("c"), F.first(thousands(F.col("d"))).alias("d")))
         cols = [self._sheet_label(F.col("m")).alias("_c0")]
-        totals = [F.lit("TOTAL").alias("_c0")]
         header = [F.lit("MÊS").alias("_c0")]
         for i, y in enumerate(years):
             cols += [F.col(f"{y}_c").alias(f"_c{2 * i + 1}"), F.col(f"{y}_d").alias(f"_c{2 * i + 2}")]
@@ -123,7 +130,8 @@ class World:
         body = wide.select(*cols, F.col("m").alias("_line"))
         total = monthly.groupBy("y").agg(F.sum("c").alias("c"))
         total_row = total.groupBy().pivot("y", years).agg(F.first(thousands(F.col("c"))))
-        total_row = total_row.select(totals[0], *[F.col(str(y)).alias(f"_c{2 * i + 1}") for i, y in enumerate(years)],
+        total_row = total_row.select(F.lit("TOTAL").alias("_c0"),
+                                     *[F.col(str(y)).alias(f"_c{2 * i + 1}") for i, y in enumerate(years)],
                                      F.lit(13).alias("_line"))
         head = self.spark.range(1).select(*header, F.lit(0).alias("_line"))
         return body.unionByName(total_row, allowMissingColumns=True).unionByName(head, allowMissingColumns=True)
