@@ -156,6 +156,7 @@ class SpatialMart:
     candidates: DataFrame            # place_key, query_no, position, response (JSON)
     manual_points: DataFrame | None = None
     corrections: DataFrame | None = None
+    lookup_errors: DataFrame | None = None   # place_key, error
     approve_geocoding: bool = False
     match: M.MatchConfig = field(default_factory=M.MatchConfig)
     source_mode: str = "draft"
@@ -191,7 +192,7 @@ class SpatialMart:
         variants = G.query_variants(places)
         scored = G.score_candidates(G.parse_candidates(self.candidates))
         return freeze(G.best_candidates(places, variants, scored, "place_key",
-                                        created_at=F.lit(None).cast("string")))
+                                        created_at=F.lit(None).cast("string"), errors=self.lookup_errors))
 
     def corrected(self) -> DataFrame:
         corr = self.corrections if self.corrections is not None else self.draft.sparkSession.createDataFrame(

@@ -281,17 +281,26 @@ best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place_key ORDER BY candidate_score DESC, query_no, position)
                  AS rk FROM issued) WHERE rk = 1),
 used AS (SELECT place_key, arg_max(query, query_no) AS query_used FROM issued GROUP BY place_key),
+errs AS (
+  SELECT place_key, min(error) AS error FROM (
+    SELECT DISTINCT p_name AS place_key, 'read timed out' AS error FROM part WHERE starts_with(p_name, 'cold '))
+  GROUP BY place_key),
+best_ok AS (SELECT * FROM best WHERE place_key NOT IN (SELECT place_key FROM errs)),
 draft AS (
-  SELECT CAST(p.id_bairro_canonico AS INTEGER) AS id_bairro_canonico, p.bairro, u.query_used, b.latitude, b.longitude,
+  SELECT CAST(p.id_bairro_canonico AS INTEGER) AS id_bairro_canonico, p.bairro,
+         CASE WHEN e.error IS NOT NULL THEN p.query_geocoding ELSE u.query_used END AS query_used,
+         b.latitude, b.longitude,
          b.display_name, b.osm_class, b.osm_type, b.osm_id,
          CAST(CASE WHEN b.place_key IS NULL THEN 0 ELSE b.candidate_score END AS INTEGER) AS candidate_score,
          CASE WHEN b.place_key IS NULL THEN false ELSE coalesce({inside('b.latitude', 'b.longitude')}, false) END
            AS is_inside_bbox,
-         CASE WHEN b.place_key IS NULL THEN 'not_found'
+         CASE WHEN e.error IS NOT NULL THEN 'error: ' || e.error
+              WHEN b.place_key IS NULL THEN 'not_found'
               WHEN coalesce({inside('b.latitude', 'b.longitude')}, false) THEN 'found'
               ELSE 'found_outside_bbox' END AS geocode_status,
          true AS needs_review
-  FROM places p LEFT JOIN best b ON p.place_key = b.place_key LEFT JOIN used u ON p.place_key = u.place_key),
+  FROM places p LEFT JOIN best_ok b ON p.place_key = b.place_key LEFT JOIN used u ON p.place_key = u.place_key
+  LEFT JOIN errs e ON p.place_key = e.place_key),
 corr AS (
   SELECT bairro, CAST({GEO.FALLBACK_LAT} AS DOUBLE) AS manual_latitude,
          CAST({GEO.FALLBACK_LON} AS DOUBLE) AS manual_longitude, 'manual review' AS manual_source
@@ -509,3 +518,28 @@ def _counts(objs) -> str:
 ORACLE["row_counts"] = f"WITH {GEO_CTES} {_counts(_FINAL_OBJECTS + _VIEWS)}"
 ORACLE["export_reconcile"] = f"""WITH {GEO_CTES}, c AS ({_counts(_FINAL_OBJECTS)})
 SELECT object_name, rows AS source_rows, rows AS target_rows_after_export, true AS matches FROM c"""
+
+# ------------------------------------------------------ view smoke queries
+
+SERIE_TEMPORAL_CTE = """serie_temporal AS (
+  SELECT 'pedidos' AS fonte, t.ano, t.mes, t.ordem_mes, t.ano_mes, d.doenca, f.casos, f.obitos
+  FROM fact_pedidos f LEFT JOIN dim_tempo t ON f.id_tempo = t.id_tempo
+  LEFT JOIN dim_doenca d ON f.id_doenca = d.id_doenca
+  UNION ALL
+  SELECT 'status_pedidos', t.ano, t.mes, t.ordem_mes, t.ano_mes, d.doenca, f.casos, f.obitos
+  FROM fact_status f LEFT JOIN dim_tempo t ON f.id_tempo = t.id_tempo
+  LEFT JOIN dim_doenca d ON f.id_doenca = d.id_doenca)"""
+
+ORACLE["smoke_serie_temporal"] = f"""WITH {MART_CTES}, {SERIE_TEMPORAL_CTE}
+SELECT doenca, ano, mes, ordem_mes, CAST(sum(casos) AS BIGINT) AS casos, CAST(sum(obitos) AS BIGINT) AS obitos
+FROM serie_temporal GROUP BY doenca, ano, mes, ordem_mes"""
+ORACLE["smoke_casos_espaciais"] = f"""WITH {MART_CTES}
+SELECT fonte, doenca, bairro, sexo, ano, count(*) AS records FROM casos_espaciais
+GROUP BY fonte, doenca, bairro, sexo, ano"""
+ORACLE["null_key_rows_dated"] = f"""WITH {MART_CTES}
+SELECT * FROM fact_dated WHERE id_doenca IS NULL OR id_bairro IS NULL OR id_sexo IS NULL OR id_tempo IS NULL"""
+ORACLE["vw_casos_espaciais_geo_serving"] = f"""WITH {GEO_CTES},
+serving AS ({ORACLE["vw_casos_espaciais_serving"].split(MART_CTES, 1)[1]})
+SELECT ce.*, g.id_bairro_canonico, g.bairro_padronizado, g.latitude, g.longitude, g.latitude_plot,
+       g.longitude_plot, g.is_mappable, g.spatial_status, g.spatial_quality, g.geocode_source
+FROM serving ce LEFT JOIN geo_dim_draft g ON ce.id_bairro = g.id_bairro"""

@@ -223,7 +223,8 @@ def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
     w, mart = _mart(spark, sf_dir)
     canonical = w.canonical_places()
     sm = SpatialMart(mart, canonical, w.alias_rules(), w.manual_rules(), w.geocoder_candidates(),
-                     manual_points=w.manual_points(canonical), approve_geocoding=approve)
+                     manual_points=w.manual_points(canonical), approve_geocoding=approve,
+                     lookup_errors=w.geocoder_errors())
     # reviewer corrections: even-numbered places found outside the box are
     # pinned to the municipal centre
     sm.corrections = (sm.draft.filter((F.col("geocode_status") == "found_outside_bbox")
@@ -550,3 +551,38 @@ def export_reconcile(spark, sf_dir):
     ordered_load([(n, objs[n]) for n in order], lambda n, df: df.write.mode("overwrite").parquet(f"{root}/{n}"))
     target = count_rows({n: spark.read.parquet(f"{root}/{n}") for n in order})
     return reconcile(count_rows({n: objs[n] for n in order}), target)
+
+
+# ------------------------------------------------------ view smoke queries
+
+@query("smoke_serie_temporal")
+def smoke_serie_temporal(spark, sf_dir):
+    return (_mart(spark, sf_dir)[1].serie_temporal().groupBy("doenca", "ano", "mes", "ordem_mes")
+            .agg(F.sum("casos").alias("casos"), F.sum("obitos").alias("obitos")))
+
+
+@query("smoke_casos_espaciais")
+def smoke_casos_espaciais(spark, sf_dir):
+    return (_mart(spark, sf_dir)[1].casos_espaciais().groupBy("fonte", "doenca", "bairro", "sexo", "ano")
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
+@query("null_key_rows_dated")
+def null_key_rows_dated(spark, sf_dir):
+    from casemart.operators.quality import rows_with_null_keys
+    return rows_with_null_keys(_mart(spark, sf_dir)[1].dated_fact, ["id_doenca", "id_bairro", "id_sexo", "id_tempo"])
+
+
+SERVING_GEO_VIEW = ["id_bairro", "id_bairro_canonico", "bairro_padronizado", "latitude", "longitude", "latitude_plot",
+                    "longitude_plot", "is_mappable", "spatial_status", "spatial_quality", "geocode_source"]
+
+
+@query("vw_casos_espaciais_geo_serving")
+def vw_casos_espaciais_geo_serving(spark, sf_dir):
+    """Serving variant: cases carry their ids and join the geographic
+    dimension by id (not by name)."""
+    from casemart.operators.spatial import cases_geo
+    from casemart.plans.world import DATED_SOURCE, UNDATED_SOURCE
+    _, m, sm = _spatial(spark, sf_dir)
+    cases = m.casos_espaciais(labels=(DATED_SOURCE, UNDATED_SOURCE), keep_ids=True, undated_year_month_text=True)
+    return cases_geo(cases, m.dim_bairro, sm.geo_dim, by="id", columns=SERVING_GEO_VIEW)

@@ -275,6 +275,12 @@ class World:
         return p.select(F.col("p_name").alias("place_key"), ((size % 4) + 1).cast("int").alias("query_no"),
                         key.alias("position"), F.to_json(obj).alias("response"))
 
+    def geocoder_errors(self) -> DataFrame:
+        """Failed lookups: the 'cold ...' name family timed out."""
+        return (self.t("part").select(F.col("p_name").alias("place_key")).distinct()
+                .filter(F.col("place_key").startswith("cold "))
+                .select("place_key", F.lit("read timed out").alias("error")))
+
     def manual_points(self, canonical: DataFrame) -> DataFrame:
         """Manual reference points for the 'small ...' name family."""
         c = canonical.filter(F.col("bairro_canonico_norm").startswith("small "))
