@@ -16,7 +16,6 @@ from casemart.plans.world import CITY, DATED_SOURCE, DEAD_RULE_SHIFT, RULE_ID_BA
 
 nk, mk, q = S.normalize_key, S.match_key, S.q
 CFG = MatchConfig()
-BOX = (f"BETWEEN {GEO.MIN_LAT} AND {GEO.MAX_LAT}", f"BETWEEN {GEO.MIN_LON} AND {GEO.MAX_LON}")
 
 
 def inside(lat: str, lon: str) -> str:

@@ -221,9 +221,19 @@ def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
     from casemart.functions.geo import FALLBACK_LAT, FALLBACK_LON
     from casemart.plans.mart import SpatialMart
     w, mart = _mart(spark, sf_dir)
+    if approve:
+        # the approval gate changes only what follows the draft: share the
+        # stored standardization, curation and draft of the draft-mode run
+        base = _spatial(spark, sf_dir, approve=False)[2]
+        sm = SpatialMart(mart, base.canonical, base.aliases, base.rules, base.candidates,
+                         manual_points=base.manual_points, approve_geocoding=True,
+                         lookup_errors=base.lookup_errors, corrections=base.corrections)
+        for stage in ("standardized", "curated", "draft"):
+            setattr(sm, stage, getattr(base, stage))
+        return w, mart, sm
     canonical = w.canonical_places()
     sm = SpatialMart(mart, canonical, w.alias_rules(), w.manual_rules(), w.geocoder_candidates(),
-                     manual_points=w.manual_points(canonical), approve_geocoding=approve,
+                     manual_points=w.manual_points(canonical), approve_geocoding=False,
                      lookup_errors=w.geocoder_errors())
     # reviewer corrections: even-numbered places found outside the box are
     # pinned to the municipal centre
