@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from casemart.functions.calendar import month_label, year_month_id, year_month_label
 from casemart.functions.text import normalize_key
-from casemart.session import checkpoint_dir, freeze, shuffle_partitions
+from casemart.session import checkpoint_dir, freeze
 
 _PID = "_cm_pid"
 
@@ -37,9 +37,13 @@ def ordinal(df: DataFrame, order_cols: Sequence[str], out_col: str,
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_buckets or shuffle_partitions(spark)
     ordered = [F.col(c).asc() for c in order_cols]
-    frozen = df.repartitionByRange(n, *ordered).sortWithinPartitions(*ordered).checkpoint(eager=True)
+    # without an explicit count AQE may coalesce adjacent range partitions
+    # (order is kept), so a two-key dimension does not write thousands of
+    # empty checkpoint files on a cluster
+    ranged = (df.repartitionByRange(num_buckets, *ordered) if num_buckets
+              else df.repartitionByRange(*ordered))
+    frozen = ranged.sortWithinPartitions(*ordered).checkpoint(eager=True)
     sizes = dict(frozen.groupBy(F.spark_partition_id().alias(_PID)).count().collect())
     parts = frozen.rdd.getNumPartitions()
     offsets = [0] + list(accumulate(sizes.get(i, 0) for i in range(parts)))[:-1]
