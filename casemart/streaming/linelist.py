@@ -5,7 +5,8 @@ over time, the same stateless cleaning operators run on a file stream:
 each micro-batch is cleaned and appended to the intermediate fact table
 through ``foreachBatch`` (idempotent per batch id, recoverable from the
 checkpoint location), and a second query keeps the per-place case counts
-the source validation reports.  Both restart exactly where they stopped
+the source validation reports (state in the checkpoint, output written by
+the executors).  Both restart exactly where they stopped
 after a failure because offsets and state live in the checkpoint folder.
 """
 
@@ -47,13 +48,17 @@ def append_batches(cleaned: DataFrame, target_path: str, checkpoint: str, fmt: s
     return w.start()
 
 
-def cases_per_place(cleaned: DataFrame, table_name: str, checkpoint: str,
+def cases_per_place(cleaned: DataFrame, target_path: str, checkpoint: str, fmt: str = "parquet",
                     available_now: bool = True) -> StreamingQuery:
-    """Running case count per place (stateful aggregation, complete mode into
-    an in-memory table for small result sets; use foreachBatch + MERGE on a
-    table format that supports it for large ones)."""
+    """Running case count per place: a stateful streaming aggregation whose
+    state lives in the checkpoint; each trigger overwrites ``target_path``
+    with the complete, updated counts (written by the executors, nothing is
+    kept on the driver)."""
     counts = cleaned.groupBy("bairro").agg(F.count(F.lit(1)).alias("count"))
-    w = (counts.writeStream.outputMode("complete").format("memory").queryName(table_name)
-         .option("checkpointLocation", checkpoint))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(target_path)
+
+    w = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -18,11 +18,11 @@ def test_stream_ingest_and_counts(spark):
     cleaned = cleaned_stream(raw, "dengue")
     q1 = append_batches(cleaned, os.path.join(root, "out"), os.path.join(root, "ck1"))
     q1.awaitTermination(120)
-    q2 = cases_per_place(cleaned, "cm_cases_per_place", os.path.join(root, "ck2"))
+    q2 = cases_per_place(cleaned, os.path.join(root, "counts"), os.path.join(root, "ck2"))
     q2.awaitTermination(120)
     out = spark.read.parquet(os.path.join(root, "out"))
     assert sorted(r.bairro for r in out.collect()) == ["CENTRO", "VILA NOVA"]
-    counts = {r.bairro: r["count"] for r in spark.table("cm_cases_per_place").collect()}
+    counts = {r.bairro: r["count"] for r in spark.read.parquet(os.path.join(root, "counts")).collect()}
     assert counts == {"CENTRO": 1, "VILA NOVA": 1}
     # a second file is picked up incrementally, the first is not reprocessed
     with open(os.path.join(inbox, "part2.csv"), "w", encoding="utf-8") as f:
@@ -30,3 +30,7 @@ def test_stream_ingest_and_counts(spark):
     q3 = append_batches(cleaned, os.path.join(root, "out"), os.path.join(root, "ck1"))
     q3.awaitTermination(120)
     assert spark.read.parquet(os.path.join(root, "out")).count() == 3
+    q4 = cases_per_place(cleaned, os.path.join(root, "counts"), os.path.join(root, "ck2"))
+    q4.awaitTermination(120)
+    counts = {r.bairro: r["count"] for r in spark.read.parquet(os.path.join(root, "counts")).collect()}
+    assert counts == {"CENTRO": 2, "VILA NOVA": 1}
