@@ -48,19 +48,19 @@ def clean_int_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("normalize_text_docs")
 def normalize_text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = World(spark, sf_dir).t("documents")
+    d = World(spark, sf_dir).spread("documents", "doc_id")
     return d.select("doc_id", normalize_text(F.col("text")).alias("texto_normalizado"))
 
 
 @query("normalize_key_docs")
 def normalize_key_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = World(spark, sf_dir).t("documents")
+    d = World(spark, sf_dir).spread("documents", "doc_id")
     return d.select("doc_id", normalize_key(F.col("text")).alias("chave"))
 
 
 @query("match_key_docs")
 def match_key_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = World(spark, sf_dir).t("documents")
+    d = World(spark, sf_dir).spread("documents", "doc_id")
     return d.select("doc_id", match_key(F.col("text")).alias("chave_match"))
 
 

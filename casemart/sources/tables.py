@@ -25,6 +25,44 @@ def read_raw_sheet(spark: SparkSession, path: str, n_cols: int, sep: str = ",",
     return spark.read.csv(path, header=False, schema=schema, sep=sep, encoding=encoding)
 
 
+def _bytes(text: str) -> int:
+    """Size setting ("134217728", "128m", "128MB", "1g") in bytes."""
+    t = text.strip().lower().rstrip("b")
+    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
+    return int(t[:-1] if scale > 1 else t) * scale
+
+
+def spread_small_input(df: DataFrame, *keys: str, max_splits: int = 64) -> DataFrame:
+    """Hash-partition a file scan by ``keys`` when its input is small.
+
+    A small table stored as one or a few parquet row groups is read by one
+    task per row group, so per-row CPU work after the scan (regex profiles,
+    line-list cleaning) would run on a single core.  The spread applies only
+    when the scan has fewer files than the session has cores and its bytes
+    fit in ``min(cores, max_splits)`` file splits.  The extra shuffle is then
+    bounded by that size.  Larger inputs come in many splits and are returned
+    unchanged, with no shuffle and no job.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if cores <= 1 or not files or len(files) >= cores:
+        return df
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    except Exception:  # no JVM gateway (e.g. Spark Connect): keep the scan as is
+        return df
+    if total > min(cores, max_splits) * split:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
     """In-code rule/reference table with an explicit schema (nullability
     included); small by construction."""
