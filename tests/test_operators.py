@@ -193,3 +193,24 @@ def test_fatal_checks_and_preservation(spark):
     a = spark.range(3)
     p = {r.label: r.preserved for r in Q.row_preservation({"x": (a, a), "y": (a, a.limit(1))}).collect()}
     assert p == {"x": True, "y": False}
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One place holds a third of all cases.  The dimension is built from
+    distinct keys, the fact join keeps every row on both the broadcast and
+    the shuffle-join path, and the per-place count is partially aggregated
+    before its shuffle (the hot key is combined map-side)."""
+    from collections import Counter
+
+    from casemart.operators import facts as FX
+    rows = [(i, "centro" if i % 3 == 0 else f"bairro {i % 97}") for i in range(30000)]
+    fact = spark.createDataFrame(rows, "case_id long, bairro string")
+    dim = D.build_dimension([fact], "bairro", "id_bairro")
+    expected = dict(Counter(b for _, b in rows))
+    for bound in (10 ** 6, 1):  # size-checked broadcast, then the shuffle-join path
+        resolved = FX.resolve_keys(fact, [FX.DimRef(dim, ["bairro"], bound)], ["case_id", "bairro", "id_bairro"])
+        counts = resolved.groupBy("bairro", "id_bairro").agg(F.count(F.lit(1)).alias("n"))
+        got = {r.bairro: r.n for r in counts.collect()}
+        assert got == expected
+        assert resolved.filter(F.col("id_bairro").isNull()).count() == 0
+        assert "partial_count" in counts._jdf.queryExecution().executedPlan().toString()
