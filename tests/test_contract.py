@@ -27,3 +27,26 @@ def test_entry_smoke(spark):
 def test_query_runs_on_smoke_data(spark, name):
     df = E.queries()[name](spark, SF_SMOKE)
     assert df.count() >= 0 and df.columns
+
+
+def _rows(df):
+    """Rows as comparable tuples; doubles rounded (sum order may differ)."""
+    def norm(v):
+        return round(v, 6) if isinstance(v, float) else v
+    return sorted((tuple(norm(v) for v in r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("name", ["dim_part_name_dense_id", "orders_by_month_segment", "match_fuzzy_top2"])
+def test_result_independent_of_shuffle_partitions(spark, name):
+    from casemart.plans import queries as Q
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            Q.clear_stages()
+            results.append(_rows(E.queries()[name](spark, SF_SMOKE)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        Q.clear_stages()
+    assert results[0] and results[0] == results[1]
