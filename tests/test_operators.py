@@ -214,3 +214,29 @@ def test_hot_key_holding_a_third_of_rows(spark):
         assert got == expected
         assert resolved.filter(F.col("id_bairro").isNull()).count() == 0
         assert "partial_count" in counts._jdf.queryExecution().executedPlan().toString()
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.text(alphabet="ab c", min_size=1, max_size=40), min_size=1, max_size=14),
+       st.lists(st.text(alphabet="ab c", min_size=1, max_size=40), min_size=1, max_size=14, unique=True),
+       st.integers(min_value=0, max_value=13))
+def test_long_key_prefix_filter_equals_brute_force(spark, us, cs, mutate):
+    """Keys beyond a small segment plan go through the q-gram prefix filter
+    (and the length band for keys too short for it): same pairs as brute
+    force."""
+    cfg = MatchConfig(max_segment_len=6)
+    floor = cfg.candidate_floor
+    # near copies so that pairs above the floor exist
+    us = us + [c[:mutate] + "b" + c[mutate + 1:] for c in cs[:4]]
+    u = spark.createDataFrame(list(enumerate(us, 1)), "id_bairro int, bairro_original_key string")
+    c = spark.createDataFrame([(k, k, i, None) for i, k in enumerate(cs, 1)],
+                              "bairro_canonico_key string, bairro_canonico string, id_bairro_canonico int, "
+                              "query_geocoding string")
+    got = {(r.id_bairro, r.bairro_canonico_key) for r in M.fuzzy_candidates(u, c, cfg).collect()}
+    want = set()
+    for i, a in enumerate(us, 1):
+        for b in cs:
+            m = max(len(a), len(b))
+            if m and 1 - _lev(a, b) / m >= floor:
+                want.add((i, b))
+    assert got == want
