@@ -240,3 +240,22 @@ def test_long_key_prefix_filter_equals_brute_force(spark, us, cs, mutate):
             if m and 1 - _lev(a, b) / m >= floor:
                 want.add((i, b))
     assert got == want
+
+
+def test_long_place_names_match_through_prefix_filter(spark):
+    """Names beyond the 64-character segment plan: a copy with three typos
+    still finds its canonical name and is accepted; an unrelated long name
+    gets no candidate."""
+    cfg = MatchConfig()
+    canon = ["conjunto habitacional nossa senhora aparecida jardim das palmeiras setor norte",
+             "residencial vila nova esperanca chacara santa luzia loteamento parque das flores"]
+    dirty = ["conjunto habitacionl nossa senhora aparecida jardim das palmeras setor nort",
+             "zzzz qqqq wwww yyyy xxxx vvvv kkkk jjjj hhhh gggg ffff dddd ssss aaaa pppp oooo"]
+    u = spark.createDataFrame(list(enumerate(dirty, 1)), "id_bairro int, bairro_original_key string")
+    c = spark.createDataFrame([(k, k.title(), i, None) for i, k in enumerate(canon, 1)],
+                              "bairro_canonico_key string, bairro_canonico string, id_bairro_canonico int, "
+                              "query_geocoding string")
+    top = {r.id_bairro: r for r in M.fuzzy_top2(M.fuzzy_candidates(u, c, cfg), cfg).collect()}
+    assert set(top) == {1}
+    assert top[1].id_bairro_canonico_by_fuzzy == 1 and top[1].fuzzy_accepted
+    assert top[1].best_distance == 3
