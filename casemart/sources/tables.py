@@ -44,19 +44,19 @@ def spread_small_input(df: DataFrame, *keys: str, max_splits: int = 64) -> DataF
     unchanged, with no shuffle and no job.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if cores <= 1 or not files or len(files) >= cores:
-        return df
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        sc = spark.sparkContext
+        cores = sc.defaultParallelism
+        files = df.inputFiles()
+        if cores <= 1 or not files or len(files) >= cores:
+            return df
+        split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
         total = 0
         for f in files:
             path = jvm.org.apache.hadoop.fs.Path(f)
             total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    except Exception:  # no JVM gateway (e.g. Spark Connect): keep the scan as is
+    except Exception:  # no driver-side context (e.g. Spark Connect): keep the scan as is
         return df
     if total > min(cores, max_splits) * split:
         return df
