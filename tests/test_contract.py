@@ -14,7 +14,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMOKE), reason="driver test
 def test_queries_and_oracles_pair_up():
     qs, sql = E.queries(), E.oracle_sql()
     assert len(qs) >= 50
-    assert set(sql) == set(qs)
+    from casemart.plans.queries import REGISTRY
+    assert set(REGISTRY) <= set(sql) <= set(qs)
 
 
 def test_entry_smoke(spark):
