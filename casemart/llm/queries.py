@@ -1,4 +1,5 @@
 """The queries of this subpackage and, where SQL can express them, their oracles."""
 
-from casemart.llm import bpe, chat, near_dedup, token_counts, topk, url_filter  # noqa: F401  (each registers its query)
+from casemart.llm import (  # noqa: F401  (each registers its query)
+    bpe, chat, lm_score, near_dedup, pii, quality, token_counts, topk, url_filter)
 from casemart.llm.common import ORACLE, REGISTRY  # noqa: F401
