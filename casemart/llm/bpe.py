@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from casemart.llm.common import field_type, query, read, spans, text_chunks, utf8
 from casemart.llm.pretokens import Splitter, segments
 
-TABLE_ROWS = 600_000
+TABLE_ROWS = 400_000
+IDS_AT_ONCE = 1 << 20
 
 
 def load_ranks(content: bytes) -> dict[bytes, int]:
@@ -59,7 +60,7 @@ class MergeTable:
         self.fits: dict[tuple[int, int], bool] = {}
         self.automaton = ahocorasick.Automaton()
         for token, i in sorted(ranks.items(), key=lambda x: x[1]):
-            self.automaton.add_word(token.decode("latin-1"), (len(token), i))
+            self.automaton.add_word(token.decode("latin-1"), i)
             if len(token) > 1:
                 self.halves[i] = self._last_merge(token, i)
                 self.prefix[i] = next((ranks[token[:k]] for k in range(len(token) - 1, 0, -1) if token[:k] in ranks), -1)
@@ -102,7 +103,7 @@ class MergeTable:
                 due, a = a, halves[a][1]
             else:
                 ok = True
-        if len(self.fits) >= 4_000_000:
+        if len(self.fits) >= TABLE_ROWS:
             self.fits.clear()
         self.fits[left, right] = ok
         return ok
@@ -111,20 +112,26 @@ class MergeTable:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        longest = [-1] * len(piece)
-        for end, (length, i) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - length + 1] = i         # ends come in order, so the last is the longest
-        alive = bytearray(b"\x01") * (len(piece) + 1)
+        text, known, fits, tokens = piece.decode("latin-1"), self.fits, self.may_follow, self.tokens
+        longest = self.automaton.iter_long
+        greedy = [i for _, i in longest(text)]
+        for pair in zip(greedy, greedy[1:]):
+            ok = known.get(pair)
+            if not (fits(*pair) if ok is None else ok):
+                break
+        else:
+            return greedy                         # neighbours that all fit are the result of the merges
+        prefix, size = self.prefix, len(piece)
+        alive = bytearray(b"\x01") * (size + 1)
         out: list[int] = []
-        at, token = 0, longest[0]
-        tokens, prefix, fits = self.tokens, self.prefix, self.may_follow
-        while at < len(piece):
+        at, token = 0, greedy[0]
+        while at < size:
             end = at + len(tokens[token])
             if alive[end] and (not out or fits(out[-1], token)):
                 out.append(token)
                 at = end
-                if at < len(piece):
-                    token = longest[at]
+                if at < size:
+                    token = next(longest(text, at))[1]
             elif prefix[token] >= 0:
                 token = prefix[token]
             else:
@@ -134,32 +141,58 @@ class MergeTable:
         return out
 
 
-class Codec:
-    """Texts to ids and back, a batch at a time."""
+class Decoder:
+    """Ids to bytes, a batch at a time."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            tokens[i] = token
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(bytes, offsets)`` of the texts that the ids spell."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or not self.length[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
+        lengths = self.length[ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.blob[spans(self.start[ids], lengths)], ends[offsets]
+
+
+class Encoder:
+    """Texts to ids, a batch at a time.
+
+    The ids of a segment stand in ``flat``, ``count`` of them from ``begin`` on;
+    ``piece`` has the place of a pre-token's ids there as ``begin << 24 | count``.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.table = MergeTable(ranks)
         self.split = Splitter(pattern).pieces
-        lengths = np.array([len(t) for t in self.table.tokens], np.int64)
-        self.length, self.start = lengths, np.cumsum(lengths) - lengths
-        self.blob = np.frombuffer(b"".join(self.table.tokens), np.uint8)
         self._forget()
 
     def _forget(self) -> None:
         self.code: dict[str, int] = {}
-        self.piece: dict[str, list[int]] = {}
+        self.piece: dict[str, int] = {}
         self.flat, self.begin, self.count = array("i"), array("q"), array("q")
 
     def _learn(self, key: str) -> int:
-        begin = len(self.flat)
+        flat, begin = self.flat, len(self.flat)
         for p in self.split(key):
-            ids = self.piece.get(p)
-            if ids is None:
-                ids = self.piece[p] = self.table.encode(p.encode())
-            self.flat.extend(ids)
+            place = self.piece.get(p)
+            if place is None:
+                ids = self.table.encode(p.encode())
+                if len(ids) < 1 << 24:
+                    self.piece[p] = len(flat) << 24 | len(ids)
+                flat.extend(ids)
+            else:
+                at = place >> 24
+                flat.extend(flat[at:at + (place & 0xFFFFFF)])
         code = self.code[key] = len(self.begin)
         self.begin.append(begin)
-        self.count.append(len(self.flat) - begin)
+        self.count.append(len(flat) - begin)
         return code
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,24 +215,16 @@ class Codec:
         ends = np.concatenate([[0], np.cumsum(counts)])
         return ids, ends[upto]
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``(bytes, offsets)`` of the texts that the ids spell."""
-        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or not self.length[ids].all()):
-            raise ValueError("an id is not in the vocabulary")
-        lengths = self.length[ids]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        return self.blob[spans(self.start[ids], lengths)], ends[offsets]
-
 
-_codecs: dict[tuple, Codec] = {}
+_made: dict[tuple, Encoder | Decoder] = {}
 
 
-def _codec(content: bytes, pattern: str) -> Codec:
-    """One codec per Python worker and vocabulary, kept between tasks."""
-    key = (len(content), zlib.crc32(content), pattern)
-    if key not in _codecs:
-        _codecs[key] = Codec(load_ranks(content), pattern)
-    return _codecs[key]
+def _once(kind: type, content: bytes, *more: str) -> Encoder | Decoder:
+    """One encoder or decoder per Python worker and vocabulary, kept between tasks."""
+    key = (kind, len(content), zlib.crc32(content), *more)
+    if key not in _made:
+        _made[key] = kind(load_ranks(content), *more)
+    return _made[key]
 
 
 def _vocabulary(df: DataFrame, path: str):
@@ -213,7 +238,7 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
     content = _vocabulary(df, ranks_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value, pattern)
+        codec = _once(Encoder, content.value, pattern)
         for b in batches:
             texts = utf8(b.column(1))
             for row, end, _, _ in text_chunks(texts):
@@ -227,30 +252,36 @@ def bpe_encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
             .mapInArrow(encode, f"`{id_col}` {field_type(df, id_col)}, ids array<int>"))
 
 
-def bpe_decode(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
+def bpe_decode(df: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with the bytes that each row's ids spell."""
     content = _vocabulary(df, ranks_path)
     at, columns = df.columns.index(ids_col), [*df.columns, out_col]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(content.value, pattern)
+        codec = _once(Decoder, content.value)
         for b in batches:
-            lists = b.column(at).fill_null([]) if b.column(at).null_count else b.column(at)
-            offsets = lists.offsets.to_numpy().astype(np.int64)
-            data, ends = codec.decode(lists.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]], offsets - offsets[0])
-            out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
-            yield pa.RecordBatch.from_arrays([*b.columns, out], names=columns)
+            ids = b.column(at).fill_null([]) if b.column(at).null_count else b.column(at)
+            upto = ids.offsets.to_numpy().astype(np.int64)
+            row = 0
+            while row < b.num_rows:       # rows of bounded ids at a time; a longer row alone
+                end = max(row + 1, int(np.searchsorted(upto, upto[row] + IDS_AT_ONCE, "right")) - 1)
+                part = ids.values.slice(upto[row], upto[end] - upto[row]).to_numpy(zero_copy_only=False)
+                data, ends = codec.decode(part, upto[row:end + 1] - upto[row])
+                out = pa.Array.from_buffers(pa.binary(), end - row, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*b.slice(row, end - row).columns, out], names=columns)
+                row = end
 
     schema = ", ".join(f"`{c}` {field_type(df, c)}" for c in df.columns)
     return df.mapInArrow(decode, f"{schema}, `{out_col}` binary")
 
 
-def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode, decode the ids again, and digest both."""
-    coded = bpe_decode(bpe_encode(docs, ranks_path, pattern, id_col, text_col), ranks_path, pattern)
+def bpe_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                keep: tuple[str, ...] = ()) -> DataFrame:
+    """Encode, decode the ids again, and digest both; ``keep`` may name ``ids`` and ``decoded``."""
+    coded = bpe_decode(bpe_encode(docs, ranks_path, pattern, id_col, text_col), ranks_path)
     return coded.select(F.col(id_col), F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+                        F.sha2("decoded", 256).alias("decoded_sha256"), *keep)
 
 
 @query("op9_bpe_round_trip")
