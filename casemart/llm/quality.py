@@ -144,23 +144,33 @@ def train(docs: DataFrame, labels: DataFrame, recipe: Recipe) -> np.ndarray:
     return np.frombuffer(model.logits, np.float32) if model else np.zeros((1 << recipe.bits) + 1, np.float32)
 
 
-def quality_scores(df: DataFrame, labels: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "quality", modulus: int = 4, held: int = 2, threshold: float = 0.7) -> DataFrame:
-    """``(id, held_out, score, predicted)`` of every row of ``df``.
+def score_documents(df: DataFrame, logits: np.ndarray, recipe: Recipe = Recipe(), text_col: str = "text",
+                    score_col: str = "score") -> DataFrame:
+    """``df`` with every row's score; all columns and rows stay."""
+    shared, at = df.sparkSession.sparkContext.broadcast(logits), df.columns.index(text_col)
+
+    def score(batches):
+        for b in batches:
+            parts = [score_chunk(data, offsets, shared.value, recipe) for _, _, data, offsets in text_chunks(b.column(at), 2 << 20)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))],
+                                             names=[*b.schema.names, score_col])
+
+    return df.mapInArrow(score, ", ".join(f"`{c}` {field_type(df, c)}" for c in df.columns) + f", `{score_col}` double")
 
-    Learns only from labels whose ``crc32(id as text) % modulus`` is not ``held``.
-    """
+
+def learn_quality(df: DataFrame, labels: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", text_col: str = "text",
+                  label_col: str = "quality", modulus: int = 4, held: int = 2) -> np.ndarray:
+    """The classifier, from labels whose ``crc32(id as text) % modulus`` is not ``held``."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.filter(fold(id_col, modulus) != held).select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label"))
-    logits = df.sparkSession.sparkContext.broadcast(train(docs, known, recipe))
+    return train(docs, known, recipe)
 
-    def score(batches):
-        for b in batches:
-            parts = [score_chunk(data, offsets, logits.value, recipe) for _, _, data, offsets in text_chunks(b.column(1), 2 << 20)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))],
-                                             names=["doc_id", "score"])
 
-    scored = docs.mapInArrow(score, f"doc_id {field_type(df, id_col)}, score double")
+def quality_scores(df: DataFrame, labels: DataFrame, recipe: Recipe = Recipe(), id_col: str = "doc_id", text_col: str = "text",
+                   label_col: str = "quality", modulus: int = 4, held: int = 2, threshold: float = 0.7) -> DataFrame:
+    """``(id, held_out, score, predicted)`` of every row of ``df``."""
+    logits = learn_quality(df, labels, recipe, id_col, text_col, label_col, modulus, held)
+    scored = score_documents(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), logits, recipe)
     return scored.select(F.col("doc_id").alias(id_col), (fold("doc_id", modulus) == held).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
