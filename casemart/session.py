@@ -70,7 +70,7 @@ def freeze(df):
     return df.checkpoint(eager=True)
 
 
-def stage_table(df, name: str):
+def stage_table(df, name: str, compression: str = "snappy"):
     """Write a stage output as parquet under the shared checkpoint folder and
     read it back (the intermediate tables of the run book).  Unlike a
     checkpoint the result is columnar, so later scans prune columns and push
@@ -79,5 +79,5 @@ def stage_table(df, name: str):
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)
