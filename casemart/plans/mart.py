@@ -165,15 +165,16 @@ class SpatialMart:
     def sources(self) -> DataFrame:
         return self.mart.dim_bairro.select("id_bairro", F.col("bairro").alias("bairro_original"))
 
+    @cached_property
+    def resolved(self) -> tuple[DataFrame, DataFrame]:
+        return M.resolve_names(self.sources, self.canonical, self.aliases, self.match)
+
     @cached_property
     def standardized(self) -> DataFrame:
-        return freeze(M.standardize(self.sources, self.canonical, self.aliases, self.match))
+        return freeze(M.consolidate(*self.resolved))
 
     def fuzzy_scores(self) -> DataFrame:
-        canonical = freeze(M.prepare_canonical(self.canonical))
-        exact = freeze(M.alias_and_exact(self.sources, canonical, freeze(M.prepare_aliases(self.aliases))))
-        unresolved = exact.filter(F.col("bairro_by_alias").isNull() & F.col("bairro_by_exact").isNull())
-        return M.fuzzy_top2(M.fuzzy_candidates(unresolved, canonical, self.match), self.match)
+        return self.resolved[1]
 
     @cached_property
     def curated(self) -> DataFrame:

@@ -9,13 +9,12 @@ aggregates; agreement of the two is the correctness check.
 from __future__ import annotations
 
 from casemart.functions import geo as GEO
-from casemart.operators.match import MatchConfig
+
 from casemart.plans import sqlfrag as S
 from casemart.plans.oracle import FIRST_YEARS_CTE, ORACLE, RAW_CTES, SERIES_STACKED_BODY
 from casemart.plans.world import CITY, DATED_SOURCE, DEAD_RULE_SHIFT, RULE_ID_BASE, UNDATED_SOURCE
 
 nk, mk, q = S.normalize_key, S.match_key, S.q
-CFG = MatchConfig()
 
 
 def inside(lat: str, lon: str) -> str:
@@ -182,15 +181,20 @@ cand AS (
   SELECT *, CASE WHEN max_len > 0 THEN 1 - distance / max_len ELSE 0.0 END AS similarity FROM cand_all),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id_bairro ORDER BY similarity DESC, distance, bairro_canonico_key) AS rk
-  FROM cand WHERE similarity >= {CFG.candidate_floor!r}),
+  FROM cand),
+-- the uncut ranking; values are reported down to 0.7 (0.8 for names over 44 characters)
+reported AS (
+  SELECT r.* FROM ranked r JOIN unresolved u USING (id_bairro)
+  WHERE r.similarity >= CASE WHEN length(u.u) <= 44 THEN 0.7::DOUBLE ELSE 0.85::DOUBLE - 0.05::DOUBLE END),
 fuzzy AS (
-  SELECT b.id_bairro, b.bairro_canonico AS bairro_by_fuzzy, b.id_bairro_canonico AS id_bairro_canonico_by_fuzzy,
+  SELECT u.id_bairro, b.bairro_canonico AS bairro_by_fuzzy, b.id_bairro_canonico AS id_bairro_canonico_by_fuzzy,
          b.query_geocoding AS query_geocoding_by_fuzzy, b.similarity AS best_similarity,
          b.distance AS best_distance, s.bairro_canonico AS second_best_match, s.similarity AS second_similarity,
-         b.similarity - coalesce(s.similarity, 0.0) AS similarity_gap,
-         (b.similarity >= {CFG.threshold!r} AND b.similarity - coalesce(s.similarity, 0.0) >= {CFG.gap!r})
-           AS fuzzy_accepted
-  FROM ranked b LEFT JOIN ranked s ON s.id_bairro = b.id_bairro AND s.rk = 2 WHERE b.rk = 1),
+         b.similarity - s.similarity AS similarity_gap,
+         coalesce(b.similarity >= 0.85::DOUBLE AND b.similarity - coalesce(t.similarity, 0.0) >= 0.05::DOUBLE, false) AS fuzzy_accepted
+  FROM unresolved u LEFT JOIN reported b ON b.id_bairro = u.id_bairro AND b.rk = 1
+  LEFT JOIN reported s ON s.id_bairro = u.id_bairro AND s.rk = 2
+  LEFT JOIN ranked t ON t.id_bairro = u.id_bairro AND t.rk = 2),
 standardized0 AS (
   SELECT e.id_bairro, e.bairro_original, e.bairro_original_key,
          coalesce(e.id_bairro_canonico_by_alias, e.id_bairro_canonico_by_exact,
