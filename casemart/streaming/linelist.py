@@ -38,10 +38,12 @@ def cleaned_stream(raw: DataFrame, category: str, dated: bool = True, reference_
 
 def append_batches(cleaned: DataFrame, target_path: str, checkpoint: str, fmt: str = "parquet",
                    available_now: bool = True) -> StreamingQuery:
-    """Append each cleaned micro-batch to ``target_path``.  The batch id is
-    written with the rows so a replayed batch can be recognised downstream."""
+    """Write each cleaned micro-batch to its own ``ingest_batch=<id>`` folder of
+    ``target_path``.  A replayed batch overwrites its folder, so a failure
+    between the write and the commit duplicates nothing; readers of
+    ``target_path`` get the batch id as a partition column."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("ingest_batch", F.lit(batch_id)).write.mode("append").format(fmt).save(target_path)
+        batch.write.mode("overwrite").format(fmt).save(f"{target_path}/ingest_batch={batch_id}")
 
     w = cleaned.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -51,14 +53,22 @@ def append_batches(cleaned: DataFrame, target_path: str, checkpoint: str, fmt: s
 def cases_per_place(cleaned: DataFrame, target_path: str, checkpoint: str, fmt: str = "parquet",
                     available_now: bool = True) -> StreamingQuery:
     """Running case count per place: a stateful streaming aggregation whose
-    state lives in the checkpoint; each trigger overwrites ``target_path``
-    with the complete, updated counts (written by the executors, nothing is
-    kept on the driver)."""
+    state lives in the checkpoint.  Each trigger writes the complete, updated
+    counts to ``counts_batch=<id>`` under ``target_path`` (by the executors,
+    nothing is kept on the driver); ``latest_counts`` reads the newest."""
     counts = cleaned.groupBy("bairro").agg(F.count(F.lit(1)).alias("count"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(target_path)
+        batch.write.mode("overwrite").format(fmt).save(f"{target_path}/counts_batch={batch_id}")
 
     w = counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def latest_counts(spark: SparkSession, target_path: str, fmt: str = "parquet") -> DataFrame:
+    """The counts of the last finished trigger; earlier ones stay readable
+    while a new one is written."""
+    every = spark.read.format(fmt).load(target_path)
+    last = every.agg(F.max("counts_batch")).first()[0]
+    return every.filter(F.col("counts_batch") == last).drop("counts_batch")

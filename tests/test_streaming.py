@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from casemart.streaming.linelist import append_batches, cases_per_place, cleaned_stream, raw_linelist_stream
+from casemart.streaming.linelist import append_batches, cases_per_place, cleaned_stream, latest_counts, raw_linelist_stream
 
 
 def test_stream_ingest_and_counts(spark):
@@ -22,7 +22,7 @@ def test_stream_ingest_and_counts(spark):
     q2.awaitTermination(120)
     out = spark.read.parquet(os.path.join(root, "out"))
     assert sorted(r.bairro for r in out.collect()) == ["CENTRO", "VILA NOVA"]
-    counts = {r.bairro: r["count"] for r in spark.read.parquet(os.path.join(root, "counts")).collect()}
+    counts = {r.bairro: r["count"] for r in latest_counts(spark, os.path.join(root, "counts")).collect()}
     assert counts == {"CENTRO": 1, "VILA NOVA": 1}
     # a second file is picked up incrementally, the first is not reprocessed
     with open(os.path.join(inbox, "part2.csv"), "w", encoding="utf-8") as f:
@@ -32,5 +32,5 @@ def test_stream_ingest_and_counts(spark):
     assert spark.read.parquet(os.path.join(root, "out")).count() == 3
     q4 = cases_per_place(cleaned, os.path.join(root, "counts"), os.path.join(root, "ck2"))
     q4.awaitTermination(120)
-    counts = {r.bairro: r["count"] for r in spark.read.parquet(os.path.join(root, "counts")).collect()}
+    counts = {r.bairro: r["count"] for r in latest_counts(spark, os.path.join(root, "counts")).collect()}
     assert counts == {"CENTRO": 2, "VILA NOVA": 1}
