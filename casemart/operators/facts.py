@@ -12,24 +12,6 @@ from pyspark.sql import functions as F
 from casemart.functions.calendar import month_label, parse_date
 from casemart.functions.text import clean_int, normalize_key, normalize_text
 
-# Largest dimension (rows) we hint as a broadcast side; above it the join
-# stays a shuffle join and AQE decides at runtime.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after proving ``df`` has at most ``max_rows`` rows.
-
-    The probe counts at most ``max_rows + 1`` rows, so it stops early on a
-    big input; above the bound the plain DataFrame is returned and Spark
-    plans a shuffle join.
-    """
-    memo = df.__dict__.setdefault("_cm_row_probe", {})
-    if max_rows not in memo:
-        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if memo[max_rows] else df
-
-
 # ---------------------------------------------------------------- line lists
 
 def digit_rows(df: DataFrame, id_col: str = "_c0") -> DataFrame:
@@ -76,20 +58,20 @@ class DimRef:
 
     dim: DataFrame
     on: Sequence[str]
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 
 
 def resolve_keys(fact: DataFrame, dims: Sequence[DimRef], keep: Sequence[str | Column]) -> DataFrame:
     """Replace natural keys by surrogate ids with left joins.
 
     A key without a match yields a NULL id (surfaced later by the null-key
-    audit); dimensions are broadcast only below a proven row bound.
+    audit).  Dimensions are stored tables, so the planner knows their bytes
+    and broadcasts those under ``spark.sql.autoBroadcastJoinThreshold``.
     Dimension keys must be unique, otherwise facts fan out (the row
     preservation audit catches that).
     """
     out = fact
     for ref in dims:
-        out = out.join(sized_broadcast(ref.dim, ref.max_broadcast_rows), list(ref.on), "left")
+        out = out.join(ref.dim, list(ref.on), "left")
     return out.select(*keep)
 
 

@@ -57,15 +57,19 @@ def forbidden_columns(frames: Mapping[str, DataFrame], forbidden: Sequence[str])
     return [(name, c) for name, df in frames.items() for c in df.columns if c in set(forbidden)]
 
 
-def fatal_spatial_checks(cases_geo_df: DataFrame) -> DataFrame:
+def fatal_spatial_checks(cases_geo_df: DataFrame, weight: str | None = None) -> DataFrame:
     """One pass: total rows, rows without place id, without status, without
     plot coordinates, and the list of failed checks."""
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+
+    def rows(bad):
+        return F.coalesce(F.sum(F.when(bad, one)), F.lit(0).cast("long"))
+
     agg = cases_geo_df.agg(
-        F.count(F.lit(1)).alias("rows_geo"),
-        F.count_if(F.col("id_bairro").isNull()).alias("rows_without_neighborhood_id"),
-        F.count_if(F.col("spatial_status").isNull()).alias("rows_without_spatial_status"),
-        F.count_if(F.col("latitude_plot").isNull() | F.col("longitude_plot").isNull())
-        .alias("rows_without_plot_coordinates"))
+        rows(F.lit(True)).alias("rows_geo"),
+        rows(F.col("id_bairro").isNull()).alias("rows_without_neighborhood_id"),
+        rows(F.col("spatial_status").isNull()).alias("rows_without_spatial_status"),
+        rows(F.col("latitude_plot").isNull() | F.col("longitude_plot").isNull()).alias("rows_without_plot_coordinates"))
     errors = F.array_compact(F.array(
         F.when(F.col("rows_geo") == 0, F.lit("zero rows")),
         F.when(F.col("rows_without_neighborhood_id") != 0, F.lit("null id_bairro")),

@@ -8,9 +8,9 @@ map views and the fatal checks.  Inputs are DataFrames, so the same plan
 runs on catalog tables (``pipeline.run_from_catalog``) or on anything Spark
 can read.
 
-Intermediate dimensions are cut from their lineage by the dense-id keyer's
-reliable checkpoint; facts and views stay lazy so Catalyst sees the whole
-join tree of each output.
+Dimensions and facts are stored and read back (columnar, of known size);
+views stay lazy, and the map views and reports aggregate the facts on their
+ids before they meet the dimensions.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ class CaseMart:
     undated_source: str = "chikungunya_espacial"
     series_defaults: Mapping[str, str] = field(default_factory=dict)   # fonte -> category when absent
     undated_reference_year: int = 2026
+    stored_series: dict[str, DataFrame] = field(default_factory=dict)  # fonte -> its stored fact
 
     # ------------------------------------------------------------ dimensions
     def _series_prepared(self, fonte: str) -> DataFrame:
@@ -57,18 +58,23 @@ class CaseMart:
         frames = [self._series_prepared(f).select("doenca") for f in self.series]
         frames += [FX.with_normalized(self.dated, ["doenca"]).select("doenca"),
                    FX.with_normalized(self.undated, ["doenca"]).select("doenca")]
-        return D.build_dimension(frames, "doenca", "id_doenca", normalize=None)
+        return freeze(D.build_dimension(frames, "doenca", "id_doenca", normalize=None))
 
     @cached_property
     def dim_bairro(self) -> DataFrame:
-        return D.build_dimension([self.dated.select("bairro"), self.undated.select("bairro")], "bairro", "id_bairro")
+        return freeze(D.build_dimension([self.dated.select("bairro"), self.undated.select("bairro")], "bairro", "id_bairro"))
 
     @cached_property
     def dim_sexo(self) -> DataFrame:
-        return D.build_dimension([self.dated.select("sexo"), self.undated.select("sexo")], "sexo", "id_sexo")
+        return freeze(D.build_dimension([self.dated.select("sexo"), self.undated.select("sexo")], "sexo", "id_sexo"))
 
     # ----------------------------------------------------------------- facts
     def series_fact(self, fonte: str) -> DataFrame:
+        if fonte not in self.stored_series:
+            self.stored_series[fonte] = freeze(self._series_fact(fonte))
+        return self.stored_series[fonte]
+
+    def _series_fact(self, fonte: str) -> DataFrame:
         return FX.resolve_keys(self._series_prepared(fonte),
                                [FX.DimRef(self.dim_tempo, ["ano", "mes", "ordem_mes"]),
                                 FX.DimRef(self.dim_doenca, ["doenca"])],
@@ -80,11 +86,10 @@ class CaseMart:
         if "unidade_notificacao" not in base.columns:
             base = base.withColumn("unidade_notificacao", F.lit(None).cast("string"))
         base = FX.with_calendar_keys(FX.with_normalized(base, ["doenca", "bairro", "sexo"]), "data")
-        return FX.resolve_keys(base, [FX.DimRef(self.dim_doenca, ["doenca"]), FX.DimRef(self.dim_bairro, ["bairro"]),
-                                      FX.DimRef(self.dim_sexo, ["sexo"]),
-                                      FX.DimRef(self.dim_tempo, ["ano", "mes", "ordem_mes"])],
-                               ["id_doenca", "id_bairro", "id_sexo", "id_tempo", "data", "idade",
-                                "unidade_notificacao"])
+        return freeze(FX.resolve_keys(
+            base, [FX.DimRef(self.dim_doenca, ["doenca"]), FX.DimRef(self.dim_bairro, ["bairro"]),
+                   FX.DimRef(self.dim_sexo, ["sexo"]), FX.DimRef(self.dim_tempo, ["ano", "mes", "ordem_mes"])],
+            ["id_doenca", "id_bairro", "id_sexo", "id_tempo", "data", "idade", "unidade_notificacao"]))
 
     @cached_property
     def undated_fact(self) -> DataFrame:
@@ -92,16 +97,32 @@ class CaseMart:
         if "ano_referencia" not in base.columns:
             base = base.withColumn("ano_referencia", F.lit(self.undated_reference_year))
         base = FX.with_normalized(base, ["doenca", "bairro", "sexo"])
-        return FX.resolve_keys(base, [FX.DimRef(self.dim_doenca, ["doenca"]), FX.DimRef(self.dim_bairro, ["bairro"]),
-                                      FX.DimRef(self.dim_sexo, ["sexo"])],
-                               ["id_doenca", "id_bairro", "id_sexo", "ano_referencia", "idade"])
+        return freeze(FX.resolve_keys(
+            base, [FX.DimRef(self.dim_doenca, ["doenca"]), FX.DimRef(self.dim_bairro, ["bairro"]),
+                   FX.DimRef(self.dim_sexo, ["sexo"])],
+            ["id_doenca", "id_bairro", "id_sexo", "ano_referencia", "idade"]))
+
+    def case_groups(self) -> DataFrame:
+        """Cases per source, category, place and month (or year), counted on the
+        stored facts' ids; only the groups meet the dimensions.  Groups are
+        bounded by places and months, however many cases there are."""
+        ids = ["id_doenca", "id_bairro"]
+        dated = (self.dated_fact.groupBy(*ids, "id_tempo").agg(F.count(F.lit(1)).alias("casos"))
+                 .join(self.dim_tempo, "id_tempo", "left")
+                 .select(F.lit(self.dated_source).alias("fonte"), *ids, "ano", "mes", "ordem_mes", "ano_mes", "casos"))
+        undated = (self.undated_fact.groupBy(*ids, "ano_referencia").agg(F.count(F.lit(1)).alias("casos"))
+                   .select(F.lit(self.undated_source).alias("fonte"), *ids, F.col("ano_referencia").alias("ano"),
+                           F.lit(None).cast("string").alias("mes"), F.lit(None).cast("int").alias("ordem_mes"),
+                           F.lit(None).cast("string").alias("ano_mes"), "casos"))
+        return (dated.unionByName(undated).join(self.dim_doenca, "id_doenca", "left")
+                .join(self.dim_bairro, "id_bairro", "left").drop("id_doenca"))
 
     # ----------------------------------------------------------------- views
     def serie_temporal(self) -> DataFrame:
         """UNION ALL of every measure fact denormalized through calendar and
         category, tagged with its source."""
-        t = FX.sized_broadcast(self.dim_tempo)
-        d = FX.sized_broadcast(self.dim_doenca)
+        t = self.dim_tempo
+        d = self.dim_doenca
         parts = [self.series_fact(f).join(t, "id_tempo", "left").join(d, "id_doenca", "left")
                  .select(F.lit(f).alias("fonte"), "ano", "mes", "ordem_mes", "ano_mes", "doenca", "casos", "obitos")
                  for f in self.series]
@@ -113,7 +134,7 @@ class CaseMart:
         branch gets typed NULLs for the calendar columns and ``ano =
         ano_referencia``.  ``labels``/``keep_ids``/``undated_year_month_text``
         give the serving variant."""
-        d, b, s, t = (FX.sized_broadcast(x) for x in (self.dim_doenca, self.dim_bairro, self.dim_sexo, self.dim_tempo))
+        d, b, s, t = (x for x in (self.dim_doenca, self.dim_bairro, self.dim_sexo, self.dim_tempo))
         dated_label, undated_label = labels or (self.dated_source, self.undated_source)
         ids = ["id_doenca", "id_bairro", "id_sexo", "id_tempo"] if keep_ids else []
         dated = (self.dated_fact.join(d, "id_doenca", "left").join(b, "id_bairro", "left")
@@ -215,5 +236,10 @@ class SpatialMart:
     def cases_geo(self) -> DataFrame:
         return SP.cases_geo(self.mart.casos_espaciais(), self.mart.dim_bairro, self.geo_dim, by="name")
 
+    @cached_property
+    def groups_geo(self) -> DataFrame:
+        """``case_groups`` with the geographic dimension; ``casos`` weighs each row."""
+        return SP.cases_geo(self.mart.case_groups(), self.mart.dim_bairro, self.geo_dim, by="id")
+
     def map_counts(self) -> DataFrame:
-        return SP.map_counts(self.cases_geo)
+        return SP.map_counts(self.groups_geo, weight="casos")

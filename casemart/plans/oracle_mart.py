@@ -522,6 +522,11 @@ ORACLE["row_counts"] = f"WITH {GEO_CTES} {_counts(_FINAL_OBJECTS + _VIEWS)}"
 ORACLE["export_reconcile"] = f"""WITH {GEO_CTES}, c AS ({_counts(_FINAL_OBJECTS)})
 SELECT object_name, rows AS source_rows, rows AS target_rows_after_export, true AS matches FROM c"""
 
+ORACLE["export_contents"] = """
+SELECT object_name, columns_compared, 0::BIGINT AS rows_missing, 0::BIGINT AS rows_unexpected
+FROM (VALUES ('dim_tempo', 5), ('dim_doenca', 2), ('dim_bairro', 2), ('dim_sexo', 2), ('dim_bairro_geografica', 11),
+  ('fato_pedidos_final', 4), ('fato_status_pedidos_final', 4), ('fato_dated_final', 7), ('fato_undated_final', 5)) t(object_name, columns_compared)"""
+
 # ------------------------------------------------------ view smoke queries
 
 SERIE_TEMPORAL_CTE = """serie_temporal AS (

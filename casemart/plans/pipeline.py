@@ -90,10 +90,11 @@ class Pipeline:
                         undated_reference_year=RD.UNDATED_REFERENCE_YEAR)
         for name in ["dim_tempo", "dim_doenca", "dim_bairro", "dim_sexo"]:
             setattr(mart, name, self.store(name, getattr(mart, name)))
+        # what follows (views, validation) reads the stored facts
         for fonte in mart.series:
-            self.store(f"fato_{fonte}_final", mart.series_fact(fonte))
-        self.store("fato_dengue_espacial_final", mart.dated_fact)
-        self.store("fato_chikungunya_espacial_final", mart.undated_fact)
+            mart.stored_series[fonte] = self.store(f"fato_{fonte}_final", mart.series_fact(fonte))
+        mart.dated_fact = self.store("fato_dengue_espacial_final", mart.dated_fact)
+        mart.undated_fact = self.store("fato_chikungunya_espacial_final", mart.undated_fact)
         mart.serie_temporal().createOrReplaceTempView("vw_serie_temporal")
         mart.casos_espaciais().createOrReplaceTempView("vw_casos_espaciais")
         self.validate_model(mart)
@@ -106,7 +107,7 @@ class Pipeline:
             raise ValueError(f"forbidden columns present: {forbidden}")
         nulls = mart.null_key_audit().filter(F.col("nulls") > 0)
         kept = mart.row_preservation().filter(~F.col("preserved"))
-        problems = [tuple(r) for r in nulls.limit(50).collect()] + [tuple(r) for r in kept.collect()]
+        problems = [tuple(r) for r in nulls.collect()] + [tuple(r) for r in kept.collect()]   # a row per key column and table
         if problems and self.cfg.fail_on_validation:
             raise ValueError(f"model validation failed: {problems}")
 
@@ -146,14 +147,14 @@ class Pipeline:
         return sm
 
     # ------------------------------------------------------------ stage 4
-    def export(self, write, order=RD.EXPORT_ORDER, count_target=None) -> DataFrame:
+    def export(self, write, read_target, order=RD.EXPORT_ORDER) -> DataFrame:
         """Ordered load through ``write(name, df)`` (any Spark sink, e.g.
-        ``write_jdbc``) and a reconciliation report of source vs target rows."""
+        ``write_jdbc``) and a reconciliation report against what
+        ``read_target(name)`` then reads from the target."""
         frames = {n: self.spark.table(f"{self.cfg.target_prefix}.{n}") for n in order}
         T.ordered_load(list(frames.items()), write)
-        source = T.count_rows(frames)
-        target = count_target() if count_target else source
-        return T.reconcile(source, target)
+        return T.reconcile(T.count_rows(frames, spark=self.spark),
+                           T.count_rows({n: read_target(n) for n in order}, spark=self.spark))
 
     def run(self) -> SpatialMart:
         inter = self.raw_etl()

@@ -7,6 +7,7 @@ names equal the matching oracle SQL in ``casemart.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +49,19 @@ def clean_int_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("normalize_text_docs")
 def normalize_text_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = World(spark, sf_dir).spread("documents", "doc_id")
+    d = World(spark, sf_dir).t("documents")
     return d.select("doc_id", normalize_text(F.col("text")).alias("texto_normalizado"))
 
 
 @query("normalize_key_docs")
 def normalize_key_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = World(spark, sf_dir).spread("documents", "doc_id")
+    d = World(spark, sf_dir).t("documents")
     return d.select("doc_id", normalize_key(F.col("text")).alias("chave"))
 
 
 @query("match_key_docs")
 def match_key_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = World(spark, sf_dir).spread("documents", "doc_id")
+    d = World(spark, sf_dir).t("documents")
     return d.select("doc_id", match_key(F.col("text")).alias("chave_match"))
 
 
@@ -124,8 +125,8 @@ def orders_by_month_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: resolved fact denormalized back through its dimensions and
     aggregated per month and segment."""
     fact, dim_cal, dim_seg, _ = _orders_star(spark, sf_dir)
-    v = (fact.join(FX.sized_broadcast(dim_cal), "id_tempo", "left")
-         .join(FX.sized_broadcast(dim_seg), "id_segmento", "left"))
+    v = (fact.join(dim_cal, "id_tempo", "left")
+         .join(dim_seg, "id_segmento", "left"))
     return (v.groupBy("ano_mes", "segmento")
             .agg(F.count(F.lit(1)).alias("pedidos"), _sum_exact(F.col("o_totalprice")).alias("valor_total")))
 
@@ -217,6 +218,16 @@ def _spatial(spark: SparkSession, sf_dir: str, approve: bool = False):
     return _STAGES[key]
 
 
+def spatial_inputs(spark: SparkSession, sf_dir: str):
+    """The spatial mart over the stored line lists, none of its stages built yet."""
+    from casemart.plans.mart import SpatialMart
+    w, mart = _mart(spark, sf_dir)
+    canonical = w.canonical_places()
+    return mart, SpatialMart(mart, canonical, w.alias_rules(), w.manual_rules(), w.geocoder_candidates(),
+                             manual_points=w.manual_points(canonical), approve_geocoding=False,
+                             lookup_errors=w.geocoder_errors())
+
+
 def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
     from casemart.functions.geo import FALLBACK_LAT, FALLBACK_LON
     from casemart.plans.mart import SpatialMart
@@ -231,10 +242,7 @@ def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
         for stage in ("standardized", "curated", "draft"):
             setattr(sm, stage, getattr(base, stage))
         return w, mart, sm
-    canonical = w.canonical_places()
-    sm = SpatialMart(mart, canonical, w.alias_rules(), w.manual_rules(), w.geocoder_candidates(),
-                     manual_points=w.manual_points(canonical), approve_geocoding=False,
-                     lookup_errors=w.geocoder_errors())
+    _, sm = spatial_inputs(spark, sf_dir)
     # reviewer corrections: even-numbered places found outside the box are
     # pinned to the municipal centre
     sm.corrections = (sm.draft.filter((F.col("geocode_status") == "found_outside_bbox")
@@ -451,31 +459,31 @@ def vw_mapa_serving(spark, sf_dir):
 @query("vw_qualidade_espacial")
 def vw_qualidade_espacial(spark, sf_dir):
     from casemart.operators.spatial import quality_counts
-    return quality_counts(_spatial(spark, sf_dir)[2].cases_geo)
+    return quality_counts(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
 
 
 @query("vw_qualidade_por_fonte")
 def vw_qualidade_por_fonte(spark, sf_dir):
     from casemart.operators.spatial import quality_counts
-    return quality_counts(_spatial(spark, sf_dir)[2].cases_geo, by_source=True)
+    return quality_counts(_spatial(spark, sf_dir)[2].groups_geo, by_source=True, weight="casos")
 
 
 @query("mappability_report")
 def mappability_report(spark, sf_dir):
     from casemart.operators.spatial import mappability_report as mr
-    return mr(_spatial(spark, sf_dir)[2].cases_geo)
+    return mr(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
 
 
 @query("fatal_checks")
 def fatal_checks(spark, sf_dir):
     from casemart.operators.quality import fatal_spatial_checks
-    return fatal_spatial_checks(_spatial(spark, sf_dir)[2].cases_geo)
+    return fatal_spatial_checks(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
 
 
 @query("non_mappable_by_place")
 def non_mappable_by_place(spark, sf_dir):
     from casemart.operators.spatial import non_mappable_by_place as nm
-    return nm(_spatial(spark, sf_dir)[2].cases_geo)
+    return nm(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
 
 
 @query("low_confidence_places")
@@ -563,6 +571,22 @@ def export_reconcile(spark, sf_dir):
     return reconcile(count_rows({n: objs[n] for n in order}), target)
 
 
+@query("export_contents")
+def export_contents(spark, sf_dir):
+    """The final tables written to a parquet target of the serving layout and
+    compared row by row, aligned to the target's columns and types."""
+    import uuid
+
+    from casemart.session import checkpoint_dir
+    from casemart.sources.tables import align_to_target, content_differences, ordered_load
+    objs = _final_objects(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    served = dict(objs, dim_bairro_geografica=align_to_target(objs["dim_bairro_geografica"], SERVING_GEO_COLUMNS).frame)
+    ordered_load(list(served.items()), lambda n, df: df.write.mode("overwrite").parquet(f"{root}/{n}"))
+    parts = [content_differences(df, spark.read.parquet(f"{root}/{n}"), n) for n, df in objs.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------ view smoke queries
 
 @query("smoke_serie_temporal")

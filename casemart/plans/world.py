@@ -84,12 +84,6 @@ class World:
     def t(self, name: str) -> DataFrame:
         return read(self.spark, self.sf_dir, name)
 
-    def spread(self, name: str, *keys: str) -> DataFrame:
-        """A driver table followed by per-row CPU work: hash-spread over the
-        cores when its files are small (see ``spread_small_input``)."""
-        from casemart.sources.tables import spread_small_input
-        return spread_small_input(self.t(name), *keys)
-
     # ------------------------------------------------------------ sheets
     @cached_property
     def monthly_orders(self):
@@ -176,10 +170,11 @@ class World:
     # -------------------------------------------------------- line lists
     @cached_property
     def cases_base(self) -> DataFrame:
-        li = self.spread("lineitem", "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+        li = self.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                        "l_returnflag", "l_linestatus", "l_shipdate")
         p = self.t("part").select("p_partkey", "p_name", "p_brand")
-        return li.join(p, li.l_partkey == p.p_partkey, "inner")
+        # a case without its part has no place: the line-list cleaners drop it by that rule
+        return li.join(p, li.l_partkey == p.p_partkey, "left")
 
     @staticmethod
     def _case_id(c_orderkey: Column, c_line: Column) -> Column:

@@ -7,6 +7,7 @@ SparkSession.  ``local_session`` exists for tests and the bench only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,7 +49,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at a shared folder "
                 "(HDFS/S3/ABFS) before running casemart operators that cut lineage")
@@ -57,17 +58,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def freeze(df):
-    """Reliable checkpoint of a stage output (the write-then-reload barrier
-    between pipeline steps): later branches, size probes and retries read
-    the stored result instead of recomputing the lineage, and a lost
-    executor does not lose it (unlike a local checkpoint or a cache)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store a stage output and read it back (the write-then-reload barrier
+    between pipeline steps): later branches and retries read the stored
+    columns instead of recomputing the lineage, the planner knows their size
+    in bytes, and a lost executor does not lose them."""
+    return stage_table(df, "frozen")
 
 
 def stage_table(df, name: str, compression: str = "snappy"):

@@ -25,44 +25,6 @@ def read_raw_sheet(spark: SparkSession, path: str, n_cols: int, sep: str = ",",
     return spark.read.csv(path, header=False, schema=schema, sep=sep, encoding=encoding)
 
 
-def _bytes(text: str) -> int:
-    """Size setting ("134217728", "128m", "128MB", "1g") in bytes."""
-    t = text.strip().lower().rstrip("b")
-    scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(t[:-1] if scale > 1 else t) * scale
-
-
-def spread_small_input(df: DataFrame, *keys: str, max_splits: int = 64) -> DataFrame:
-    """Hash-partition a file scan by ``keys`` when its input is small.
-
-    A small table stored as one or a few parquet row groups is read by one
-    task per row group, so per-row CPU work after the scan (regex profiles,
-    line-list cleaning) would run on a single core.  The spread applies only
-    when the scan has fewer files than the session has cores and its bytes
-    fit in ``min(cores, max_splits)`` file splits.  The extra shuffle is then
-    bounded by that size.  Larger inputs come in many splits and are returned
-    unchanged, with no shuffle and no job.
-    """
-    spark = df.sparkSession
-    try:
-        sc = spark.sparkContext
-        cores = sc.defaultParallelism
-        files = df.inputFiles()
-        if cores <= 1 or not files or len(files) >= cores:
-            return df
-        split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-        total = 0
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    except Exception:  # no driver-side context (e.g. Spark Connect): keep the scan as is
-        return df
-    if total > min(cores, max_splits) * split:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
     """In-code rule/reference table with an explicit schema (nullability
     included); small by construction."""
@@ -178,17 +140,30 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str
      .jdbc(url, table, properties=dict(properties)))
 
 
-def count_rows(frames: Mapping[str, DataFrame], count_col: str = "rows") -> DataFrame:
+def count_rows(frames: Mapping[str, DataFrame], count_col: str = "rows", spark: SparkSession | None = None) -> DataFrame:
     """One row ``(object_name, rows)`` per frame, as a single union of
-    aggregates (one job, each frame scanned once)."""
-    spark = next(iter(frames.values())).sparkSession
+    aggregates (one job, each frame scanned once); empty for no frames."""
     parts = [df.agg(F.count(F.lit(1)).alias(count_col)).select(F.lit(name).alias("object_name"), count_col)
              for name, df in frames.items()]
     if not parts:
+        spark = spark or SparkSession.active()
         return spark.createDataFrame([], f"object_name string, {count_col} bigint")
     return reduce(DataFrame.unionByName, parts)
 
 
+def content_differences(source: DataFrame, target: DataFrame, name: str) -> DataFrame:
+    """One row: how many rows of ``source``, aligned to the columns and types of
+    ``target``, the target lacks or has too many of (repeated rows count)."""
+    aligned = align_to_target(source, target.columns, target.schema)
+    want, have = aligned.frame, target.select(*aligned.selected)
+    return (want.withColumn("_side", F.lit(1)).unionByName(have.withColumn("_side", F.lit(-1)))
+            .groupBy(*aligned.selected).agg(F.sum("_side").alias("_n"))
+            .agg(F.coalesce(F.sum(F.greatest("_n", F.lit(0))), F.lit(0).cast("long")).alias("rows_missing"),
+                 F.coalesce(F.sum(F.greatest(-F.col("_n"), F.lit(0))), F.lit(0).cast("long")).alias("rows_unexpected"))
+            .select(F.lit(name).alias("object_name"), F.lit(len(aligned.selected)).alias("columns_compared"),
+                    "rows_missing", "rows_unexpected"))
+
+
 def reconcile(source_counts: DataFrame, target_counts: DataFrame) -> DataFrame:
     """Source vs target row counts per object, with a match flag."""
     s = source_counts.withColumnRenamed("rows", "source_rows")
@@ -210,14 +185,12 @@ def ordered_load(tables: Sequence[tuple[str, DataFrame]], write) -> list[str]:
 
 def audit_objects(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """Row count and status (``ok`` or ``error: <first 200 chars>``) of each
-    table or view; failures become rows instead of stopping the audit."""
-    parts = []
+    table or view.  Every object is counted by a job of its own, so one that
+    fails, be it in analysis or while it runs, becomes a row."""
+    rows = []
     for name in names:
         try:
-            df = spark.table(name)
-            parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(name).alias("object_name"), "row_count", F.lit("ok").alias("status")))
+            rows.append((name, spark.table(name).count(), "ok"))
         except Exception as exc:  # noqa: BLE001 - the message becomes data
-            msg = f"error: {str(exc)[:200]}"
-            parts.append(spark.createDataFrame([(name, None, msg)], "object_name string, row_count bigint, status string"))
-    return reduce(DataFrame.unionByName, parts)
+            rows.append((name, None, f"error: {str(exc)[:200]}"))
+    return spark.createDataFrame(rows, "object_name string, row_count bigint, status string")

@@ -198,7 +198,7 @@ def test_fatal_checks_and_preservation(spark):
 def test_hot_key_holding_a_third_of_rows(spark):
     """One place holds a third of all cases.  The dimension is built from
     distinct keys, the fact join keeps every row on both the broadcast and
-    the shuffle-join path, and the per-place count is partially aggregated
+    the shuffle-join path (by threshold), and the per-place count is partially aggregated
     before its shuffle (the hot key is combined map-side)."""
     from collections import Counter
 
@@ -207,13 +207,15 @@ def test_hot_key_holding_a_third_of_rows(spark):
     fact = spark.createDataFrame(rows, "case_id long, bairro string")
     dim = D.build_dimension([fact], "bairro", "id_bairro")
     expected = dict(Counter(b for _, b in rows))
-    for bound in (10 ** 6, 1):  # size-checked broadcast, then the shuffle-join path
-        resolved = FX.resolve_keys(fact, [FX.DimRef(dim, ["bairro"], bound)], ["case_id", "bairro", "id_bairro"])
+    for bound in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        resolved = FX.resolve_keys(fact, [FX.DimRef(dim, ["bairro"])], ["case_id", "bairro", "id_bairro"])
         counts = resolved.groupBy("bairro", "id_bairro").agg(F.count(F.lit(1)).alias("n"))
         got = {r.bairro: r.n for r in counts.collect()}
         assert got == expected
         assert resolved.filter(F.col("id_bairro").isNull()).count() == 0
         assert "partial_count" in counts._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @settings(max_examples=6, deadline=None)
@@ -259,3 +261,37 @@ def test_long_place_names_match_through_prefix_filter(spark):
     assert set(top) == {1}
     assert top[1].id_bairro_canonico_by_fuzzy == 1 and top[1].fuzzy_accepted
     assert top[1].best_distance == 3
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.text(alphabet="abc ", min_size=1, max_size=14), min_size=1, max_size=10),
+       st.lists(st.text(alphabet="abc ", min_size=1, max_size=14), min_size=2, max_size=10, unique=True))
+def test_fuzzy_scores_report_the_uncut_ranking_or_null(spark, us, cs):
+    cfg = MatchConfig()
+    u = spark.createDataFrame(list(enumerate(us, 1)), "id_bairro int, bairro_original_key string")
+    c = spark.createDataFrame([(k, k, i, None) for i, k in enumerate(cs, 1)],
+                              "bairro_canonico_key string, bairro_canonico string, id_bairro_canonico int, query_geocoding string")
+    got = {r.id_bairro: r for r in M.fuzzy_scores(u, c, cfg).collect()}
+    assert set(got) == set(range(1, len(us) + 1))
+    for i, a in enumerate(us, 1):
+        ranked = sorted((-(1 - _lev(a, b) / max(len(a), len(b))), _lev(a, b), b) for b in cs)
+        best, second = (-ranked[0][0], ranked[0][2]), (-ranked[1][0], ranked[1][2])
+        r = got[i]
+        assert (r.best_similarity, r.bairro_by_fuzzy) == (best if best[0] >= cfg.last_floor else (None, None))
+        assert (r.second_similarity, r.second_best_match) == (second if second[0] >= cfg.last_floor else (None, None))
+        assert r.similarity_gap == (best[0] - second[0] if second[0] >= cfg.last_floor else None)
+        assert r.fuzzy_accepted == (best[0] >= cfg.threshold and best[0] - second[0] >= cfg.gap)
+
+
+def test_audit_lists_failures_as_rows(spark):
+    from casemart.sources.tables import audit_objects, content_differences, count_rows
+    spark.range(3).createOrReplaceTempView("audit_ok")
+    spark.sql("CREATE OR REPLACE TEMP VIEW audit_bad AS SELECT id FROM range(3) WHERE 1 / (id - 1) > 0")
+    got = {r.object_name: r for r in audit_objects(spark, ["audit_ok", "audit_bad", "audit_absent"]).collect()}
+    assert got["audit_ok"].row_count == 3 and got["audit_ok"].status == "ok"
+    assert all(got[n].status.startswith("error:") and len(got[n].status) <= 207 for n in ("audit_bad", "audit_absent"))
+    assert count_rows({}, spark=spark).count() == 0
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
+    b = spark.createDataFrame([("x", 1), (None, 3)], "v string, k long")
+    r = content_differences(a, b, "t").first()
+    assert (r.columns_compared, r.rows_missing, r.rows_unexpected) == (2, 2, 1)
