@@ -41,10 +41,6 @@ def month_label(ordinal: Column | str) -> Column:
     return F.try_element_at(_ordinal_to_label_map(), as_column(ordinal).cast("int"))
 
 
-def is_month_label(label: Column | str) -> Column:
-    return as_column(label).isin(MONTH_LABELS)
-
-
 def parse_date(c: Column | str, fmt: str = DATE_FORMAT) -> Column:
     """Strict date parse of trimmed text; unparsable -> NULL (never fails)."""
     return F.try_to_date(F.trim(as_column(c).cast("string")), fmt)

@@ -143,28 +143,39 @@ def literal_steps(name: str, rules: Sequence[tuple[str, str]]) -> list[Step]:
             for p, r in rules]
 
 
-def regex_steps(name: str, rules: Sequence[tuple[str, str]]) -> list[Step]:
-    return [Step(f"{name}:{p}", (lambda x, p=p, r=r: F.regexp_replace(x, p, r)))
-            for p, r in rules]
-
-
 def fold(steps: Sequence[Step], c: Column) -> Column:
     for step in steps:
         c = step.apply(c)
     return c
 
 
+def _whole_words(rules: Sequence[tuple[str, str]]) -> dict[str, str]:
+    """``\\bword\\b -> replacement`` rules as a table of words."""
+    return {pattern.removeprefix(r"\b").removesuffix(r"\b"): r for pattern, r in rules}
+
+
+def replace_words(x: Column, table: dict[str, str]) -> Column:
+    """Replace whole words of a text of words with single spaces between them."""
+    def look(word: Column) -> Column:
+        out = F.when(~word.isin(*table), word)
+        for old, new in table.items():
+            out = out.when(word == old, F.lit(new))
+        return out
+
+    return F.array_join(F.transform(F.split(x, " "), look), " ")
+
+
+# After the punctuation and space steps a text is words with single spaces, so
+# the one-word rules are one look-up a word.  Abbreviations, phrases and
+# numerals share no word, so their order among each other does not matter.
 MATCH_PROFILE: list[Step] = (
     [Step("lower_trim", lambda x: F.lower(F.trim(x)))]
     + literal_steps("mojibake", MATCH_MOJIBAKE_FIXES)
     + [Step("accents", lambda x: F.translate(x, MATCH_PROFILE_ACCENTED, MATCH_PROFILE_PLAIN)),
-       Step("punctuation", lambda x: F.regexp_replace(x, r"[^a-z0-9\s]", " ")),
-       Step("spaces", collapse_spaces),
-       Step("trim", F.trim)]
-    + regex_steps("abbrev", MATCH_ABBREVIATIONS)
-    + regex_steps("phrase", MATCH_PHRASES)
-    + regex_steps("roman", MATCH_ROMAN_NUMERALS)
-    + [Step("spaces", collapse_spaces), Step("trim", F.trim)]
+       Step("punctuation", lambda x: F.regexp_replace(x, r"[^a-z0-9]+", " ")),
+       Step("trim", F.trim),
+       Step("words", lambda x: replace_words(x, _whole_words(MATCH_ABBREVIATIONS + MATCH_ROMAN_NUMERALS))),
+       Step("phrases", lambda x: F.regexp_replace(x, "|".join(p for p, _ in MATCH_PHRASES), MATCH_PHRASES[0][1]))]
 )
 
 
@@ -175,10 +186,3 @@ def match_key(c: Column | str, profile: Sequence[Step] = MATCH_PROFILE) -> Colum
     ``"jardim brasil"``, ``"n.s.apda"`` -> ``"nossa senhora aparecida"``.
     """
     return fold(profile, as_column(c).cast("string"))
-
-
-def normalized_or_default(df, column: str, default: str | None):
-    """Normalized category column if present, else a constant column."""
-    if column in df.columns:
-        return df.withColumn(column, normalize_key(F.col(column)))
-    return df.withColumn(column, F.lit(default).cast("string"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,13 +83,3 @@ def with_calendar_keys(df: DataFrame, date_col: str, year_col: str = "ano", labe
 
 def with_normalized(df: DataFrame, cols: Sequence[str], normalize=normalize_key) -> DataFrame:
     return df.withColumns({c: normalize(F.col(c)) for c in cols})
-
-
-def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by name; a column missing from a branch becomes a typed NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def typed_nulls(df: DataFrame, spec: dict[str, str]) -> DataFrame:
-    """Add NULL columns of the given SQL types (union compatibility)."""
-    return df.withColumns({c: F.lit(None).cast(t) for c, t in spec.items()})

@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators import facts as FX
-from casemart.operators import geocode as G
 from casemart.operators import quality as Q
 from casemart.operators import reshape as R
 from casemart.operators import spatial as SP
