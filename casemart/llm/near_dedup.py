@@ -12,13 +12,16 @@ the full sets, so no false link stays.
 Work per group of copies is linear where a quadratic result is not needed:
 
 * documents with equal sets are one class and enter once;
-* every class first meets one hub only (the smallest class of the band group
-  that it shares most bands with), and the confirmed links are joined into
+* every class first meets up to three hubs only (a band group's hub is its
+  class that meets most others, as the original of edited copies does; those
+  that share most bands go first), and the confirmed links are joined into
   components;
 * then each band group is searched again for pairs in *different* components,
   where one side is outside the group's largest component.  A pair inside one
-  component cannot change the result, every other candidate is confirmed, so
-  no link is lost however large the group is.
+  component cannot change the result.  Of the others, those are dropped whose
+  parity maps (2,048 places) differ in more places than two linked sets can
+  differ in shingles, which is certain; the rest is confirmed, so no link is
+  lost however large the group is, and few pairs are more than links.
 
 Nothing is collected to the driver; hubs and components come from grouped
 aggregates (combined map-side) and joins whose other side has one row a key,
@@ -34,7 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casemart.llm.common import ORACLE, mix, query, read
@@ -43,10 +46,15 @@ from casemart.llm.shingles import shingle_sets
 from casemart.session import stage_table
 
 MINIMA, BAND_ROWS, BITS = 128, 4, 4
+#: Hubs that a class is compared with before the search between components.
+TRIES = 3
+#: Places of the parity maps.
+PARITY = 2048
+#: Classes that a task of the search between components holds at once.
+BLOCK = 4096
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, MINIMA, np.uint32)
-_LOW = 0x1111111111111111
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
@@ -59,7 +67,7 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 def band_keys(m: np.ndarray) -> np.ndarray:
     """64-bit keys of the bands of each row of minima."""
-    m = m.astype(np.uint64).reshape(len(m), -1, BAND_ROWS)
+    m = m.astype(np.uint64).reshape(len(m), MINIMA // BAND_ROWS, BAND_ROWS)
     key = np.broadcast_to(np.arange(m.shape[1], dtype=np.uint64), m.shape[:2])
     for k in range(BAND_ROWS):
         key = mix(key * np.uint64(0x9FB21C651E98DF25) + m[:, :, k])
@@ -67,10 +75,10 @@ def band_keys(m: np.ndarray) -> np.ndarray:
 
 
 def packed(m: np.ndarray) -> np.ndarray:
-    """The low bits of each minimum, 16 to a long."""
-    low = mix(m.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
-    low = low.reshape(len(m), -1, 64 // BITS) << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))
-    return np.bitwise_or.reduce(low, axis=2)
+    """The low bits of each minimum as bit planes: two longs for each of the bits."""
+    low = mix(m.astype(np.uint64)).astype(np.uint8)
+    planes = [np.packbits((low >> p) & 1, axis=1).view(np.uint64) for p in range(BITS)]
+    return np.concatenate(planes, axis=1)
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -97,41 +105,115 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, n long, s1 long, s2 long, bands array<long>, bits array<long>")
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles hash to each of ``PARITY`` places, odd or even, as longs."""
+    odd = np.bincount((shingles % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """``(node, shingles)`` of the given documents."""
+    """``(node, shingles, odd)`` of the given documents."""
     def sets_of(batches):
         for b in batches:
             for row, sets in shingle_sets(b.column(1), width):
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+                odd = np.concatenate([parity(s) for s in sets]) if sets else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(row, len(sets)),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))], names=["node", "shingles"])
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (PARITY // 64), pa.int32()), pa.array(odd))],
+                    names=["node", "shingles", "odd"])
 
-    return docs.mapInArrow(sets_of, "node long, shingles array<long>")
+    return docs.mapInArrow(sets_of, "node long, shingles array<long>, odd array<long>")
 
 
 def mismatches(a: Column, b: Column) -> Column:
     """Minima whose retained bits differ between two packed signatures."""
-    def differ(x: Column, y: Column) -> Column:
-        z = x.bitwiseXOR(y)
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 1))
-        z = z.bitwiseOR(F.shiftrightunsigned(z, 2))
-        return F.bit_count(z.bitwiseAND(F.lit(_LOW)))
-
+    words = MINIMA // 64
     total = F.lit(0)
-    for i in range(MINIMA * BITS // 64):
-        total = total + differ(a[i], b[i])
+    for w in range(words):
+        differ = a[w].bitwiseXOR(b[w])
+        for p in range(1, BITS):
+            differ = differ.bitwiseOR(a[p * words + w].bitwiseXOR(b[p * words + w]))
+        total = total + F.bit_count(differ)
     return total
 
 
+def most_mismatches(percent: int) -> int:
+    """Mismatching minima of a pair at the threshold, and five standard deviations more."""
+    chance, j = 2.0 ** -BITS, percent / 100
+    agree = j + (1 - j) * chance
+    return int(MINIMA * (1 - agree + 5 * (agree * (1 - agree) / MINIMA) ** 0.5))
+
+
 def may_link(na: Column, nb: Column, a: Column, b: Column, percent: int) -> Column:
     """Set sizes allow a link, and the corrected estimate is not five standard
     deviations under the threshold."""
-    chance, j = 2.0 ** -BITS, percent / 100
-    agree = j + (1 - j) * chance
-    least = agree - 5 * (agree * (1 - agree) / MINIMA) ** 0.5
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (mismatches(a, b) <= int(MINIMA * (1 - least)))
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (mismatches(a, b) <= most_mismatches(percent))
+
+
+def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """``(u, v, nu, nv)``: pairs of a band group in different components, one of
+    them outside its largest (``main``), that the filters let pass.
+
+    ``rows`` has (key, node, component, main, n, bits, odd).  The rows outside
+    the largest component are dealt in blocks of about ``BLOCK`` a group; a task
+    holds one block and streams the rows of the group past it.
+    """
+    outside = rows.filter("component <> main")
+    blocks = (outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    mine = outside.join(blocks, "key").select("key", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("side"),
+                                              "node", "component", "main", "n", "bits", "odd")
+    every = (rows.join(blocks, "key").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("key", "block", F.lit(1).alias("side"), "node", "component", "main", "n", "bits", "odd"))
+    most = most_mismatches(percent)
+
+    def compare(batches):
+        group, held = None, []
+        for b in batches:
+            key, block, side, node, comp, main, n = (c.to_numpy() for c in b.columns[:7])
+            bits, odd = (c.values.slice(c.offsets[0].as_py(), c.offsets[-1].as_py() - c.offsets[0].as_py()).to_numpy()
+                         .view(np.uint64).reshape(b.num_rows, -1) for c in b.columns[7:])
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1])) + 1
+            for a, z in zip(np.concatenate([[0], edge]), np.concatenate([edge, [b.num_rows]])):
+                if (key[a], block[a]) != group:
+                    group, held = (key[a], block[a]), []
+                part = tuple(x[a:z] for x in (node, comp, n, bits, odd))
+                if side[a] == 0:
+                    held.append(part)
+                    continue
+                if len(held) > 1:
+                    held = [tuple(map(np.concatenate, zip(*held)))]
+                for at in range(0, z - a, 256):
+                    found = _near(held[0], tuple(x[at:at + 256] for x in part), main[a], percent, most)
+                    if len(found[0]):
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, found)), names=["u", "v", "nu", "nv"])
+
+    both = mine.unionByName(every).repartition("key", "block").sortWithinPartitions("key", "block", "side")
+    return both.mapInArrow(compare, "u long, v long, nu long, nv long")
+
+
+def _near(left: tuple, right: tuple, main: int, percent: int, most: int) -> tuple:
+    (u, cu, nu, bu, ou), (v, cv, nv, bv, ov) = left, right
+    planes, out = MINIMA // 64, []
+    for at in range(0, len(u), 1024):
+        s = slice(at, at + 1024)
+        wrong = np.zeros((len(u[s]), len(v)), np.uint16)
+        for w in range(planes):
+            differ = bu[s, None, w] ^ bv[None, :, w]
+            for p in range(1, BITS):
+                differ |= bu[s, None, p * planes + w] ^ bv[None, :, p * planes + w]
+            wrong += np.bitwise_count(differ)
+        ok = (wrong <= most) & (cu[s, None] != cv) & ((cv == main) | (u[s, None] < v))
+        ok &= 100 * np.minimum(nu[s, None], nv) >= percent * np.maximum(nu[s, None], nv)
+        i, j = np.nonzero(ok)
+        # linked sets differ in no more shingles than this, so their parity maps in no more places
+        apart = np.bitwise_count(ou[at + i] ^ ov[j]).sum(1, dtype=np.int64)
+        keep = apart * (100 + percent) <= (nu[at + i] + nv[j]) * (100 - percent)
+        out.append((at + i[keep], j[keep]))
+    i, j = (np.concatenate(x) for x in zip(*out))
+    return u[i], v[j], nu[i], nv[j]
 
 
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,10 +226,15 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     nodes = signed.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "node")
 
     banded = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
-    shared = stage_table(banded.join(hubs, "key"), "shared-bands")
-    best = (shared.filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
-            .groupBy("node").agg(F.max(F.struct("n", -F.col("hub"))).alias("b")).select("node", (-F.col("b.col2")).alias("hub")))
+    sizes = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = stage_table(banded.join(sizes, "key"), "shared-bands")
+    # the original of a group of edited copies meets more of them than any copy does
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    hubs = (shared.join(degrees, "node").groupBy("key").agg(F.max(F.struct("degree", -F.col("node"))).alias("h"))
+            .select("key", (-F.col("h.col2")).alias("hub")))
+    common = Window.partitionBy("node").orderBy(F.col("n").desc(), "hub")      # at most one row a band
+    best = (shared.join(hubs, "key").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("n"))
+            .withColumn("try", F.row_number().over(common)).filter(F.col("try") <= TRIES).select("node", "hub"))
     slim = nodes.select("node", "n", "bits")
     x, y = slim.toDF("u", "nu", "bu"), slim.toDF("v", "nv", "bv")
     able = may_link(F.col("nu"), F.col("nv"), F.col("bu"), F.col("bv"), percent)
@@ -157,10 +244,11 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     sets = stage_table(full_sets(docs.join(among.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), width), "shingle-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        both = (pairs.join(sets.toDF("u", "su"), "u").join(sets.toDF("v", "sv"), "v")
+        both = (pairs.join(sets.select("node", "shingles").toDF("u", "su"), "u").join(sets.select("node", "shingles").toDF("v", "sv"), "v")
                 .withColumn("common", F.size(F.array_intersect("su", "sv")).cast("long")))
         return both.filter(100 * F.col("common") >= percent * (F.col("nu") + F.col("nv") - F.col("common"))).select("u", "v")
 
+    first = stage_table(first, "hub-pairs")
     links = stage_table(confirmed(first), "links")
     groups = connected_components(links)
 
@@ -170,14 +258,8 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = (parts.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("largest"))
              .filter("parts > 1").select("key", F.col("largest.component").alias("main")))
-    rows = stage_table(placed.join(mixed, "key").join(slim, "node"), "mixed-bands")
-    left = rows.filter("component <> main").select("key", F.col("node").alias("u"), F.col("component").alias("cu"),
-                                                   F.col("n").alias("nu"), F.col("bits").alias("bu"))
-    right = rows.select("key", F.col("node").alias("v"), F.col("component").alias("cv"), "main",
-                        F.col("n").alias("nv"), F.col("bits").alias("bv"))
-    once = (F.col("cv") == F.col("main")) | (F.col("u") < F.col("v"))
-    more = (left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("cu") != F.col("cv")) & once & able)
-            .select("u", "v", "nu", "nv").distinct())
+    rows = stage_table(placed.join(mixed, "key").join(slim, "node").join(sets.select("node", "odd"), "node"), "mixed-bands")
+    more = stage_table(_cross_pairs(rows, percent).distinct(), "mixed-pairs")
     groups = connected_components(links.unionByName(confirmed(more)))
 
     of = signed.select("doc_id", "n", "s1", "s2").join(classes, ["s1", "s2"], "left").join(groups, "node", "left")
