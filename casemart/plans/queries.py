@@ -229,7 +229,6 @@ def spatial_inputs(spark: SparkSession, sf_dir: str):
 
 
 def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
-    from casemart.functions.geo import FALLBACK_LAT, FALLBACK_LON
     from casemart.plans.mart import SpatialMart
     w, mart = _mart(spark, sf_dir)
     if approve:
@@ -243,6 +242,11 @@ def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
             setattr(sm, stage, getattr(base, stage))
         return w, mart, sm
     _, sm = spatial_inputs(spark, sf_dir)
+    return _with_corrections(w, mart, sm)
+
+
+def _with_corrections(w, mart, sm):
+    from casemart.functions.geo import FALLBACK_LAT, FALLBACK_LON
     # reviewer corrections: even-numbered places found outside the box are
     # pinned to the municipal centre
     sm.corrections = (sm.draft.filter((F.col("geocode_status") == "found_outside_bbox")
@@ -253,6 +257,11 @@ def _build_spatial(spark: SparkSession, sf_dir: str, approve: bool):
     return w, mart, sm
 
 
+def keep_spatial(spark: SparkSession, sf_dir: str, sm) -> None:
+    """Make the built stages of ``sm`` those that the queries of this session read."""
+    _STAGES[_stage_key(spark, sf_dir, "spatial", False)] = _with_corrections(*_mart(spark, sf_dir), sm)
+
+
 @query("mart_dim_place")
 def mart_dim_place(spark, sf_dir):
     return _mart(spark, sf_dir)[1].dim_bairro
