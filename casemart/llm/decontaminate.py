@@ -7,12 +7,13 @@
    ``stride`` words, so every benchmark part (at most ``part_words`` words)
    that a document holds lies whole in some passage.
 2. Passages are TF-IDF vectors over the vocabulary (a term in more than
-   ``max_df`` of the blocks weighs nothing).  A randomised singular value
-   decomposition of all passages, with the benchmark parts as further, weighted
-   rows, gives the latent space: tasks multiply their passages with the
-   broadcast sketch and back, the products are added in a distributed sum, and
-   the driver orthonormalises ``features x (rank + extra)`` numbers, however
-   many passages there are.
+   ``max_df`` of the blocks weighs nothing, unless it is among the rarest
+   ``least_terms`` of a part).  A randomised singular value decomposition of all
+   passages, with the benchmark parts as further, weighted rows, gives the
+   latent space: tasks multiply their passages with the broadcast random sketch
+   and back, the products are added in a distributed sum, and the driver gets
+   singular vectors from that one product (Nystrom's form): ``features x (rank
+   + extra)`` numbers, however many passages there are.
 3. Candidates are passages whose latent cosine with a benchmark part is at
    least ``min_cosine``.
 4. A candidate is confirmed by its longest common subsequence with the part: a
@@ -58,9 +59,10 @@ class Spec:
     part_words: int = 64
     least_words: int = 8
     features: int = 1 << 14     # latent features: vocabulary codes modulo this
-    rank: int = 224
-    extra: int = 32
-    max_df: float = 0.1
+    rank: int = 176
+    extra: int = 16
+    max_df: float = 0.01
+    least_terms: int = 8        # the rarest terms of a part that count whatever their frequency
     min_cosine: float = 0.4
     copied: float = 0.6
     similar: float = 0.45
@@ -176,7 +178,7 @@ def back(sparse: tuple, latent: np.ndarray, total: np.ndarray) -> None:
         total[f[first]] += np.add.reduceat(latent[passage[by]] * value[by, None], first, axis=0)
 
 
-def _lists(b: pa.RecordBatch, most: int = 1 << 19):
+def _lists(b: pa.RecordBatch, most: int = 1 << 16):
     """``(first row, codes, ends)`` of a batch's coded documents, a bounded number of words at a time."""
     lists = b.column(1)
     off = lists.offsets.to_numpy().astype(np.int64)
@@ -190,15 +192,15 @@ def _lists(b: pa.RecordBatch, most: int = 1 << 19):
 def _summed(coded: DataFrame, shape: tuple[int, ...], work) -> tuple[np.ndarray, int]:
     """Sum over all tasks of an array that ``work(codes, ends, total) -> rows``
     adds to, and the number of rows; only the sum comes to the driver."""
-    parts = 16
+    parts, kind_of = 64, np.float32 if len(shape) > 1 else np.int64
 
     def run(batches):
-        total, n = np.zeros(shape, np.float32 if len(shape) > 1 else np.int64), 0
+        total, n = np.zeros(shape, kind_of), 0
         for b in batches:
             for _, codes, ends in _lists(b):
                 n += work(codes, ends, total)
         if n:
-            cuts = np.array_split(total.astype(float), parts)
+            cuts = np.array_split(total, parts)
             yield pa.RecordBatch.from_arrays([pa.array(range(parts)), pa.array([n] * parts), pa.array([c.tobytes() for c in cuts])],
                                              names=["part", "n", "value"])
 
@@ -207,7 +209,7 @@ def _summed(coded: DataFrame, shape: tuple[int, ...], work) -> tuple[np.ndarray,
         for b in batches:
             for part, n, value in zip(*(c.to_pylist() for c in b.columns)):
                 x = have.setdefault(part, [0, 0])
-                x[0], x[1] = x[0] + n, x[1] + np.frombuffer(value)
+                x[0], x[1] = x[0] + n, x[1] + np.frombuffer(value, kind_of).astype(float)
         if have:
             yield pa.RecordBatch.from_arrays([pa.array(list(have)), pa.array([n for n, _ in have.values()]),
                                               pa.array([c.tobytes() for _, c in have.values()])], names=["part", "n", "value"])
@@ -274,7 +276,11 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), id_col:
         return int(blocks.sum())
 
     df_of, n = _summed(coded, (m,), block_terms)
-    weight = np.where(df_of > spec.max_df * n, 0, np.log((1 + n) / (1 + df_of))).astype(np.float32)
+    rare = df_of <= spec.max_df * n
+    for part in bench.parts:
+        f = np.unique((part - 1) % m)
+        rare[f[np.argsort(df_of[f], kind="stable")[:spec.least_terms]]] = True
+    weight = np.where(rare, np.log((1 + n) / (1 + np.minimum(df_of, n)) + 1e-3), 0).astype(np.float32)
 
     # benchmark rows: half of the energy of all passages
     lengths = np.array([len(p) for p in bench.parts], np.int64)
@@ -298,10 +304,13 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), id_col:
         return total + own_weight * mine
 
     k = min(m, spec.rank + spec.extra)
-    sketch = np.random.default_rng(spec.seed).standard_normal((m, k)).astype(np.float32)
-    q = np.linalg.qr(gram(sketch).astype(float))[0].astype(np.float32)
-    power, turn = np.linalg.eigh((lambda g: (g + g.T) / 2)(q.T.astype(float) @ gram(q)))
-    latent = (q @ turn[:, ::-1][:, :min(m, spec.rank)]).astype(np.float32)
+    sketch = np.linalg.qr(np.random.default_rng(spec.seed).standard_normal((m, k)))[0]
+    product = gram(sketch.astype(np.float32)).astype(float)
+    shift = 1e-6 * (np.linalg.norm(product) + 1e-9)
+    product += shift * sketch
+    core = sketch.T @ product
+    root = np.linalg.cholesky((core + core.T) / 2 + shift * np.eye(k))
+    latent = np.linalg.svd(np.linalg.solve(root, product.T).T, full_matrices=False)[0][:, :min(m, spec.rank)].astype(np.float32)
     basis = spark.sparkContext.broadcast((latent, weight))
 
     def unit(x: np.ndarray) -> np.ndarray:
