@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from casemart.llm.common import field_type, query, read, spans, text_chunks, utf8
 from casemart.llm.pretokens import Splitter, segments
 
-TABLE_ROWS = 400_000
+TABLE_ROWS = 300_000
 IDS_AT_ONCE = 1 << 20
 
 
