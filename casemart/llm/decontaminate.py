@@ -5,7 +5,8 @@
    benchmark text has is 0.  The coded documents are written once and read by
    the later steps.  Passages are windows of ``2 * stride`` words every
    ``stride`` words, so every benchmark part (at most ``part_words`` words)
-   that a document holds lies whole in some passage.
+   that a document holds lies whole in some passage.  Longer items have parts
+   that overlap, so a copied excerpt long enough to be a leak lies whole in one.
 2. Passages are TF-IDF vectors over the vocabulary (a term in more than
    ``max_df`` of the blocks weighs nothing, unless it is among the rarest
    ``least_terms`` of a part).  A randomised singular value decomposition of all
@@ -34,6 +35,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -77,6 +79,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hashes(flat, starts, ends), np.searchsorted(rows, np.arange(len(offsets)))
 
 
+def _part_starts(n: int, spec: Spec) -> list[int]:
+    """Where the parts of an item of ``n`` words begin: every run of words that
+    is long enough to be a leak of a part lies whole in one of them."""
+    last = max(0, n - spec.part_words)
+    step = spec.part_words - math.ceil(spec.copied * spec.part_words) + 1
+    return [*range(0, last, step), last] if n else []
+
+
 class Benchmark:
     """Coded benchmark parts; everything here is bounded by the benchmark."""
 
@@ -96,12 +106,10 @@ class Benchmark:
         for (item, _), text, seq in zip(items, texts, seqs):
             coded = self.code(seq)
             answer = coded[len(coded) - self._answer_length(text, spec):]
-            for k in range(max(1, -(-len(coded) // spec.part_words))):
-                part = coded[k * spec.part_words:(k + 1) * spec.part_words]
-                if len(part):
-                    self.parts.append(part)
-                    self.item.append(item)
-                    self.answer.append(answer)
+            for at in _part_starts(len(coded), spec):
+                self.parts.append(coded[at:at + spec.part_words])
+                self.item.append(item)
+                self.answer.append(answer)
         self.stride = max([16, *map(len, self.parts)])
 
     def code(self, h: np.ndarray) -> np.ndarray:

@@ -252,6 +252,22 @@ def test_leaks_found_and_clean_left_alone(spark):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_of_excerpts_across_part_borders(spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(3000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {i: text(n) for i, n in enumerate([65, 100, 128, 129, 200, 300])}
+    rows, want = [], set()
+    for i, w in items.items():
+        for at in range(0, len(w) - 64 + 1, 16):
+            rows.append((len(rows), " ".join(text(90) + w[at:at + 64] + text(80))))
+            want.add((rows[-1][0], i))
+    clean = [(1000 + d, " ".join(text(200))) for d in range(100)] + [(2000, " ".join(text(90) + items[0][-1:] + text(90)))]
+    docs = spark.createDataFrame(rows + clean, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()} == want
+
+
 # ------------------------------------------------------------ PII
 
 def test_pii_surrogates(spark):
