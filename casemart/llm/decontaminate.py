@@ -15,8 +15,18 @@
    and back, the products are added in a distributed sum, and the driver gets
    singular vectors from that one product (Nystrom's form): ``features x (rank
    + extra)`` numbers, however many passages there are.
-3. Candidates are passages whose latent cosine with a benchmark part is at
-   least ``min_cosine``.
+   The rank grows with the benchmark parts while that is at most
+   ``most_numbers`` numbers.
+3. Candidates come by two ways.  One is a latent cosine with a benchmark part of
+   at least ``min_cosine``: of the passage, and for parts of at most half, a
+   quarter ... of the stride also of windows that much shorter, where other
+   words dilute less.  The other is exact and does not depend on the latent
+   space: a run of ``gram`` words that is kept for the part.  Kept are the
+   rarest of any ``near`` neighbouring runs, unless more than ``common`` parts
+   have it, and whatever else it takes that each stretch of the part that is
+   long enough for a leak holds a kept run: a verbatim copy is always found.
+   The text as long as the part around that run, and half as much on either
+   side, is then compared.
 4. A candidate is confirmed by its longest common subsequence with the part: a
    share of ``copied`` of the part's words is a leak, a share of ``similar``
    is one if the part's answer stands in the passage word for word (the answer
@@ -45,7 +55,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemart.llm.common import query, read, span_hashes, text_chunks, utf8, words
+from casemart.llm.common import query, read, span_hashes, spans, text_chunks, utf8, words
+from casemart.llm.shingles import _sequence_hash
 from casemart.session import stage_table
 
 MAX_BENCHMARK_WORDS = 20_000_000
@@ -60,15 +71,19 @@ _FLAT[65:91] = np.arange(97, 123)
 class Spec:
     part_words: int = 64
     least_words: int = 8
-    features: int = 1 << 14     # latent features: vocabulary codes modulo this
-    rank: int = 176
+    features: int = 1 << 16     # latent features: vocabulary codes modulo this
+    rank: int = 176             # latent dimensions, or 7/8 of the parts if those are more
     extra: int = 16
+    most_numbers: int = 3 << 22     # of the latent space: features x (rank + extra)
     max_df: float = 0.01
     least_terms: int = 8        # the rarest terms of a part that count whatever their frequency
     min_cosine: float = 0.4
     copied: float = 0.6
     similar: float = 0.45
     answer_words: int = 5
+    gram: int = 4               # words of a run that makes a candidate
+    near: int = 4               # runs of which the rarest is kept
+    common: int = 64            # parts that may share a run kept for its rarity alone
     seed: int = 11
 
 
@@ -136,6 +151,57 @@ class Benchmark:
         return spec.answer_words
 
 
+def grams(codes: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(place, hash)`` of every run of ``width`` benchmark words within a document."""
+    known = np.concatenate([[0], np.cumsum(codes > 0)])
+    place = np.flatnonzero(known[width:] - known[:-width] == width)
+    place = place[place + width <= ends[np.searchsorted(ends, place, "right")]]
+    return place, _sequence_hash(codes.astype(np.uint64), place, width)
+
+
+class Runs:
+    """The kept runs of the parts by their hash; ``rarity`` of every code."""
+
+    def __init__(self, parts: list[np.ndarray], rarity: np.ndarray, spec: Spec):
+        lengths = np.array([len(p) for p in parts], np.int64)
+        flat, ends = np.concatenate(parts) if parts else np.zeros(0, np.int32), np.cumsum(lengths)
+        self.of: dict[int, tuple] = {}
+        for width in sorted({min(spec.gram, int(n)) for n in lengths}):
+            place, h = grams(flat, ends, width)
+            part = np.searchsorted(ends, place, "right")
+            mine = np.minimum(spec.gram, lengths[part]) == width
+            place, h, part = place[mine], h[mine], part[mine]
+            _, which = np.unique(h, return_inverse=True)
+            shared = np.bincount(np.unique(which * len(parts) + part) // len(parts))[which] > spec.common
+            rare = sum(rarity[flat[place + i]] for i in range(width))
+            keep = np.zeros(len(h), bool)
+            edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+            for a, z in zip(edges, edges[1:]):
+                least = max(1, math.ceil(spec.similar * lengths[part[a]]) - width + 1)      # runs of the shortest leak
+                for size, value in ((spec.near, np.where(shared[a:z], -np.inf, rare[a:z])), (spec.part_words, rare[a:z] - 1e9 * shared[a:z])):
+                    size = min(size, least, z - a)
+                    best = a + np.arange(z - a - size + 1) + np.lib.stride_tricks.sliding_window_view(value, size).argmax(1)
+                    keep[best[value[best - a] > -np.inf]] = True
+            by = np.flatnonzero(keep)[np.argsort(h[keep], kind="stable")]
+            self.of[width] = (h[by], part[by], place[by] - (ends - lengths)[part[by]])
+
+    def find(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(place, part, start)``: where a part has a run of the documents, and where a whole copy of it would begin."""
+        out = [(np.zeros(0, np.int64),) * 3]
+        for width, (keys, part, offset) in self.of.items():
+            place, h = grams(codes, ends, width)
+            at = np.searchsorted(keys, h)
+            hit = np.flatnonzero(np.append(keys, np.uint64(0))[at] == h) if len(keys) else at[:0]
+            at, n = at[hit], np.searchsorted(keys, h[hit], "right") - at[hit]
+            at, place = spans(at, n), np.repeat(place[hit], n)
+            hit = np.stack([place, part[at], place - offset[at]])
+            hit = hit[:, np.lexsort((hit[0], hit[2], hit[1]))]
+            new = np.ones(hit.shape[1], bool)
+            new[1:] = (hit[1:, 1:] != hit[1:, :-1]).any(0)
+            out.append(tuple(hit[:, new]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def passages(codes: np.ndarray, ends: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(row, first, end, number)`` of the windows of every coded document.
 
@@ -258,7 +324,9 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), id_col:
         raise ValueError("the benchmark is too large to broadcast; decontaminate against a part of it at a time")
     bench = Benchmark([tuple(r) for r in items.orderBy("item", "text").collect()], spec)
     shared = spark.sparkContext.broadcast(bench)
-    stride, m = bench.stride, max(1, min(spec.features, len(bench.words)))
+    stride = bench.stride
+    m = max(1, min(spec.features, len(bench.words)))
+    rank = max(spec.rank, min(len(bench.parts) * 7 // 8, spec.most_numbers // m - spec.extra))
 
     def code(batches):
         b0 = shared.value
@@ -288,7 +356,9 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), id_col:
     for part in bench.parts:
         f = np.unique((part - 1) % m)
         rare[f[np.argsort(df_of[f], kind="stable")[:spec.least_terms]]] = True
-    weight = np.where(rare, np.log((1 + n) / (1 + np.minimum(df_of, n)) + 1e-3), 0).astype(np.float32)
+    rarity = np.log((1 + n) / (1 + np.minimum(df_of, n)) + 1e-3)
+    weight = np.where(rare, rarity, 0).astype(np.float32)
+    runs = spark.sparkContext.broadcast(Runs(bench.parts, rarity[np.maximum(0, np.arange(len(bench.words) + 1) - 1) % m], spec))
 
     # benchmark rows: half of the energy of all passages
     lengths = np.array([len(p) for p in bench.parts], np.int64)
@@ -311,47 +381,89 @@ def find_leaks(df: DataFrame, benchmark: DataFrame, spec: Spec = Spec(), id_col:
         back(own, project(own, basis, len(bench.parts)), mine)
         return total + own_weight * mine
 
-    k = min(m, spec.rank + spec.extra)
+    k = min(m, rank + spec.extra)
     sketch = np.linalg.qr(np.random.default_rng(spec.seed).standard_normal((m, k)))[0]
     product = gram(sketch.astype(np.float32)).astype(float)
     shift = 1e-6 * (np.linalg.norm(product) + 1e-9)
     product += shift * sketch
     core = sketch.T @ product
     root = np.linalg.cholesky((core + core.T) / 2 + shift * np.eye(k))
-    latent = np.linalg.svd(np.linalg.solve(root, product.T).T, full_matrices=False)[0][:, :min(m, spec.rank)].astype(np.float32)
+    latent = np.linalg.svd(np.linalg.solve(root, product.T).T, full_matrices=False)[0][:, :min(m, rank)].astype(np.float32)
     basis = spark.sparkContext.broadcast((latent, weight))
 
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
     mine = spark.sparkContext.broadcast(unit(project(own, latent, len(bench.parts))))
+    # windows of half, a quarter ... of a passage, each for the parts that fit them
+    classes = []
+    size = stride // 2
+    while size >= spec.least_words and (lengths <= size).any():
+        classes.append((size, np.flatnonzero((lengths <= size) & ((lengths > size // 2) | (size // 2 < spec.least_words)))))
+        size //= 2
     names = ["doc_id", "item_id", "passage", "cosine", "lcs", "share", "answered"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.bool_()]
 
     def confirm(batches):
-        b0, (latent, weight), parts = shared.value, basis.value, mine.value
+        b0, (latent, weight), parts, kept = shared.value, basis.value, mine.value, runs.value
         masks = []
         for part in b0.parts:
             masks.append({})
             for i, w in enumerate(part.tolist()):
                 masks[-1][w] = masks[-1].get(w, 0) | 1 << i
+
+        def latents(codes, first, end):
+            return unit(project(tfidf(codes, first, end, weight), latent, len(first)))
+
+        def near(codes, first, end, of):
+            """``(window, part, cosine)`` of the windows that are near one of the parts ``of``."""
+            out = [(np.zeros(0, np.int64), of[:0], np.zeros(0, np.float32))]
+            for at in range(0, len(first), 4096):
+                a, z = first[at:at + 4096], end[at:at + 4096]
+                cosine = latents(codes[a[0]:z[-1]], a - a[0], z - a[0]) @ parts[of].T
+                p, k = np.nonzero(cosine >= spec.min_cosine)
+                out.append((at + p, of[k], cosine[p, k]))
+            return (np.concatenate(x) for x in zip(*out))
+
+        def candidates(codes, ends, doc, first, end):
+            """``(passage, part, cosine, start, end)``: what is compared with a part, and in which passage."""
+            last = np.cumsum(np.bincount(doc, minlength=len(ends))) - 1        # of each document
+            p, k, cosine = near(codes, first, end, np.arange(len(parts)))
+            yield p, k, cosine, first[p], end[p]
+
+            def passage_of(place):
+                d = np.searchsorted(ends, place, "right")
+                begin = np.concatenate([[0], ends[:-1]])[d]
+                return np.minimum(np.searchsorted(doc, d) + (place - begin) // stride, last[d])
+
+            for size, of in classes:
+                _, a, z, _ = passages(codes, ends, size)
+                p, k, cosine = near(codes, a, z, of)
+                yield passage_of(a[p]), k, cosine, a[p], z[p]
+            place, k, start = kept.find(codes, ends)
+            p, n = passage_of(place), lengths[k]
+            some, which = np.unique(p, return_inverse=True)
+            cosine = (latents(codes, first[some], end[some])[which] * parts[k]).sum(1)
+            begin = np.concatenate([[0], ends[:-1]])[doc[p]]
+            yield p, k, cosine, np.maximum(start - n // 2, begin), np.minimum(start + n + n // 2, ends[doc[p]])
+
         for b in batches:
             for row, codes, ends in _lists(b):
                 doc, first, end, number = passages(codes, ends, stride)
+                if not len(doc) or not len(parts):
+                    continue
                 out = []
-                sparse = tfidf(codes, first, end, weight)
-                x = unit(project(sparse, latent, len(first)))
-                for at in range(0, len(x), 4096):
-                    cosine = x[at:at + 4096] @ parts.T
-                    for p, k in zip(*np.nonzero(cosine >= spec.min_cosine)):
-                        i = at + p
-                        part, window = b0.parts[k], codes[first[i]:end[i]]
+                for p, k, cosine, starts, stops in candidates(codes, ends, doc, first, end):
+                    for j, (i, k) in enumerate(zip(p, k)):
+                        part, window = b0.parts[k], codes[starts[j]:stops[j]]
                         lcs = longest_common(masks[k], len(part), window.tolist())
                         share = lcs / len(part)
-                        answered = _holds(window, b0.answer[k])
+                        if share < min(spec.similar, spec.copied):
+                            continue
+                        answered = _holds(codes[min(first[i], starts[j]):max(end[i], stops[j])], b0.answer[k])
                         if share >= spec.copied and len(part) >= spec.least_words or share == 1 and _holds(window, part) \
                                 or share >= spec.similar and answered and len(part) >= spec.least_words:
-                            out.append((b.column(0)[int(row + doc[i])].as_py(), b0.item[k], int(number[i]), float(cosine[p, k]), lcs,
+                            out.append((b.column(0)[int(row + doc[i])].as_py(), b0.item[k], int(number[i]), float(cosine[j]), lcs,
                                         share, answered))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)

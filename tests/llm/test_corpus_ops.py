@@ -268,6 +268,23 @@ def test_leaks_of_excerpts_across_part_borders(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()} == want
 
 
+def test_verbatim_copies_of_a_large_benchmark_are_all_found(spark):
+    """Thousands of items, short ones too, of frequent words and with shared openings."""
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(6000)]
+    weights = [1 / (r + 8) for r in range(len(vocabulary))]
+    text = lambda n: rng.choices(vocabulary, weights, k=n)
+    opening = text(9)
+    items = {i: (opening if i % 5 == 0 else []) + text(rng.choice([9, 12, 20, 40, 59])) for i in range(2000)}
+    rows = [(d, " ".join(text(60) + items[d] + text(60))) for d in range(500)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()] + [(5000, "zwei worte")], "item_id long, text string")
+    rows += [(9000, " ".join(text(70)) + " zwei worte " + " ".join(text(70))), (9001, " ".join(text(70)) + " worte zwei")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spec = decontaminate.Spec(min_cosine=0.9)          # hardly a candidate of the latent space
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench, spec).collect()}
+    assert {(d, d) for d in range(500)} | {(9000, 5000)} <= got and (9001, 5000) not in got
+
+
 # ------------------------------------------------------------ PII
 
 def test_pii_surrogates(spark):
