@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,15 @@ def test_lm_is_a_distribution(spark):
     assert all(x < 0 for x in first.values()) and first["a"] > first["zz0"]
 
 
+def test_lm_model_size_follows_the_tokens():
+    spec = lm_score.MaxEnt()
+    assert [spec.grown(n).bits for n in (0, 1 << 26, 1 << 28, 1 << 30, 1 << 40)] == [13, 13, 14, 15, 16]
+    names = pa.array([b"a", b"b", b"c", b"d", lm_score.END], pa.binary())
+    vocabulary = lm_score.Vocabulary(spec, [])
+    one, two = (vocabulary.features(names, np.array([i, 1, 2, 3]), np.array([4]))[:, 3] for i in (0, 3))
+    assert spec.classes == 64 and len(one) == 4 and (one != two).tolist() == [False, False, True, False]
+
+
 def test_lm_of_nothing(spark):
     assert lm_score.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
