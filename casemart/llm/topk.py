@@ -55,16 +55,18 @@ def _matrix(lists: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 def _top(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(query position, id, score)`` of the k best ids of every query row."""
+    by = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], ids[by][1:] != ids[by][:-1]]))
+    if len(first) < len(ids):       # rows that share an id: its best score
+        scores, ids = np.maximum.reduceat(scores[:, by], first, axis=1), ids[by][first]
     out = []
     for i, row in enumerate(scores):
         keep = ids != own[i]
-        if len(row) > 8 * k:        # everything that ties with or beats the k-th row, own and repeated ids aside
+        if len(row) > 8 * k:        # everything that ties with or beats the k-th id, the own aside
             floor = np.partition(row[keep], -min(k, keep.sum()))[-min(k, keep.sum())] if keep.any() else 0
             keep &= row >= floor
         at = np.flatnonzero(keep)
-        at = at[np.lexsort((ids[at], -row[at]))]
-        _, first = np.unique(ids[at], return_index=True)
-        at = at[np.sort(first)][:k]
+        at = at[np.lexsort((ids[at], -row[at]))][:k]
         out.append((np.full(len(at), i), ids[at], row[at]))
     return tuple(np.concatenate(x) for x in zip(*out))
 

@@ -129,6 +129,16 @@ def test_topk_matches_brute_force(spark, block):
     assert {q: sorted(v) for q, v in got.items()} == want
 
 
+@pytest.mark.parametrize("times", [1, 6])
+def test_topk_repeated_neighbours(spark, times):
+    """The best neighbours stand in many rows of one block; all other ids must still be ranked."""
+    rows = [(0, [1.0, 0.0]), *[(i, [float(i), 1.0]) for i in range(1, 101)]]
+    rows += [(i, [float(i) - j / 100, 1.0]) for i in (100, 99, 97) for j in range(times)]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
+    got = topk.PivotIndex(vectors, pivots=1, annuli=1).search(vectors.filter("vec_id = 0"), 5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 256 * 256 * i) for i in (100, 99, 98, 97, 96)]
+
+
 def test_topk_few_or_no_vectors(spark):
     for n in (0, 1, 3):
         df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id long, v array<double>")
