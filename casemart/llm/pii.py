@@ -134,11 +134,17 @@ _PHONE = f"""concat(regexp_extract(canon, '^([+][0-9]{{1,3}}(?=[ .(-]))?', 0), a
     ELSE cast({_byte('i')} % 10 as string) END), ''))"""
 
 
+def _further(s: str, n: int) -> str:
+    """One more syllable every four attempts, so the pool outgrows any number of names."""
+    return (f"CASE WHEN attempt >= 4 THEN array_join(transform(sequence(4, 3 + cast(attempt div 4 as int)), "
+            f"j -> element_at({s}, {_byte('j')} % {n} + 1)), '') ELSE '' END")
+
+
 def _name(ending_f: str, ending_m: str, syllables: list[str]) -> str:
     s = _lit(syllables)
     body = ", ".join(f"element_at({s}, {_byte(str(i))} % {len(syllables)} + 1)" for i in range(2))
     third = f"CASE WHEN attempt > 1 THEN element_at({s}, {_byte('2')} % {len(syllables)} + 1) ELSE '' END"
-    return (f"concat({body}, {third}, CASE kind WHEN 'given_f' THEN '{ending_f}' WHEN 'given_m' THEN '{ending_m}' "
+    return (f"concat({body}, {third}, {_further(s, len(syllables))}, CASE kind WHEN 'given_f' THEN '{ending_f}' WHEN 'given_m' THEN '{ending_m}' "
             f"WHEN 'given_n' THEN '' ELSE element_at({s}, {_byte('3')} % {len(syllables)} + 1) || "
             f"CASE WHEN canon RLIKE '[аяα]$' THEN '{ending_f}' ELSE '{ending_m}' END END)")
 
@@ -146,7 +152,7 @@ def _name(ending_f: str, ending_m: str, syllables: list[str]) -> str:
 _NAME = f"""CASE WHEN canon RLIKE '\\\\p{{IsCyrillic}}' THEN {_name('на', 'н', _CYRILLIC)}
     WHEN canon RLIKE '\\\\p{{IsGreek}}' THEN {_name('να', 'ς', _GREEK)}
     WHEN canon RLIKE '\\\\p{{IsHan}}' THEN concat(element_at({_lit(_HAN)}, {_byte('0')} % {len(_HAN)} + 1),
-        element_at({_lit(_HAN)}, {_byte('1')} % {len(_HAN)} + 1))
+        element_at({_lit(_HAN)}, {_byte('1')} % {len(_HAN)} + 1), {_further(_lit(_HAN), len(_HAN))})
     ELSE {_name('na', 'n', _LATIN)} END"""
 
 

@@ -355,6 +355,13 @@ def test_pii_surrogates_stay_distinct(spark):
     assert not {t for v in by.values() for t in v} & {t for _, t in rows}
 
 
+def test_pii_more_names_than_short_surrogates(spark):
+    """36 ** 3 + 36 ** 2 = 47,952 Cyrillic given names of up to three syllables."""
+    units = spark.range(48_500).selectExpr("'given_m' AS kind", "concat('я', translate(cast(id as string), '0123456789', 'абвгдежзик')) AS canon")
+    got = pii._settle(units, "k").agg(F.count("*"), F.countDistinct("surrogate"), F.count_if(F.col("canon") == F.col("surrogate"))).first()
+    assert tuple(got) == (48_500, 48_500, 0)
+
+
 # ------------------------------------------------------------ pipeline
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver test data not present")
