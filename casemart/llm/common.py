@@ -124,8 +124,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(start, end, row)`` of every word ``[^\\x20\\x09-\\x0D]+`` of a chunk.
+def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(start, end, row)`` of every word of a chunk: a run of bytes that are not
+    ``blank`` (the default: ``[^\\x20\\x09-\\x0D]+``).
 
     A word never crosses a row border.
     """
@@ -134,7 +135,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         z = np.zeros(0, np.int64)
         return z, z, z
     solid = np.empty(n + 1, bool)
-    np.logical_not(_SPACE[data], out=solid[:n])
+    np.logical_not(blank[data], out=solid[:n])
     solid[n] = False
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
