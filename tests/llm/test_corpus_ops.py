@@ -362,6 +362,75 @@ def test_pii_more_names_than_short_surrogates(spark):
     assert tuple(got) == (48_500, 48_500, 0)
 
 
+def surrogates_of(spark, mentions, key="k"):
+    """The written surrogate of each mention, one mention a text."""
+    df = spark.createDataFrame(list(enumerate(mentions)), "doc_id long, text string")
+    return {mentions[r.doc_id]: r.text for r in pii.replace_pii(df, key).collect()}
+
+
+def test_pii_ten_thousand_domains_of_one_shape(spark):
+    code = lambda i: "".join(chr(97 + i // 26 ** k % 26) for k in range(4))
+    mails = [f"ann@{code(37 * i)}mail.com" for i in range(10_000)]
+    got = surrogates_of(spark, mails)
+    domains = {m.split("@")[1] for m in got.values()}
+    assert len(domains) == 10_000 and not domains & {m.split("@")[1] for m in mails} and all(d.endswith(".com") for d in domains)
+
+
+def test_pii_addresses_of_a_used_up_format(spark):
+    """All one-letter and two-letter addresses at one domain, and all domains of one letter."""
+    letters = [chr(97 + i) for i in range(26)]
+    mails = [f"{a}@mail.com" for a in letters] + [f"{a}{b}@mail.com" for a in letters for b in letters] + [f"x.y@{a}.org" for a in letters]
+    got = surrogates_of(spark, mails)
+    assert len(set(got.values())) == len(mails) == 728 and not set(got.values()) & set(mails)
+    assert len({m.split("@")[1] for m in got.values()}) == 27
+
+
+def test_pii_map_from_entities_to_surrogates_is_one_to_one(spark):
+    """Every type at once, with formats narrow enough to collide: brute-force check of the written results."""
+    entities = ([f"u{i}@d{i % 40}.net" for i in range(400)] + [f"10.0.{i}.1" for i in range(150)] + [f"{i:03}-55-1{i:03}" for i in range(300)]
+                + [f"(2{i:02}) 555-0{i:03}" for i in range(100)] + [f"password={i:06}" for i in range(300)] + [f"::{i:x}1" for i in range(15)]
+                + [f"Ms. Ana{chr(97 + i % 26)}{chr(97 + i // 26)} Lee" for i in range(300)] + ["2001:db8::1", "fe80::1:2", "00:1b:44:11:3a:b7"])
+    got = surrogates_of(spark, entities)
+    assert len(set(got.values())) == len(entities) and not set(got.values()) & set(entities)
+
+
+def test_pii_names_are_carried_to_mentions_without_title(spark):
+    texts = ["Ms. Jane Doe came. Later Jane Doe left, and Jane Doering stayed.", "Dr. Jane Doe spoke to Mr. Jane Roe.", "Dr. Mary Poe, Mrs. Mary Poe, Mary Poe",
+             "Jane Doe without a title"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.replace_pii(df, "k").collect()}
+    first = re.fullmatch(r"Ms\. (\w+ \w+) came\. Later (\w+ \w+) left, and Jane Doering stayed\.", got[0].text)
+    assert first[1] == first[2] != "Jane Doe" and got[0].n_entities == 2
+    second = re.fullmatch(r"Dr\. (\w+ \w+) spoke to Mr\. (\w+) (\w+)\.", got[1].text)
+    assert second[1] == first[1] and second[2] == first[1].split()[0]          # one given name, one surrogate, after any title
+    third = re.fullmatch(r"Dr\. (\w+ \w+), Mrs\. (\w+ \w+), (\w+ \w+)", got[2].text)
+    assert third[1] == third[2] == third[3] and third[1].split()[0].endswith("na")
+    assert got[3].text == texts[3]                                             # as the docstring says
+
+
+def test_pii_one_phone_number_in_several_spellings(spark):
+    ways = ["+1 (743) 555-3824", "(743) 555-3824", "743.555.3824", "7435553824", "+17435553824", "+1-743-555-3824"]
+    got = surrogates_of(spark, ways)
+    digits = {re.sub(r"\D", "", got[w])[-10:] for w in ways}
+    assert len(digits) == 1 and digits != {"7435553824"}
+    assert [re.sub(r"\d", "0", got[w]) for w in ways] == [re.sub(r"\d", "0", w) for w in ways]
+    assert surrogates_of(spark, ["id 1735553824, 12345678901"]) == {"id 1735553824, 12345678901": "id 1735553824, 12345678901"}
+
+
+def test_pii_chinese_names_and_short_ip_addresses(spark):
+    got = surrogates_of(spark, ["昨天王伟先生来了", "李小龙博士", "to 2001:db8::1 and ::1", "std::vector a::b 10:30"])
+    assert re.fullmatch(r"昨天\w{2}先生来了", got["昨天王伟先生来了"]) and "王伟" not in got["昨天王伟先生来了"]
+    assert re.fullmatch(r"\w{3}博士", got["李小龙博士"]) and got["李小龙博士"] != "李小龙博士"
+    assert re.fullmatch(r"to [0-9]{4}:[0-9a-f]{3}::[0-9] and ::[0-9]", got["to 2001:db8::1 and ::1"]) and "2001:db8" not in got["to 2001:db8::1 and ::1"]
+    assert got["std::vector a::b 10:30"] == "std::vector a::b 10:30"
+
+
+def test_pii_clashing_columns(spark):
+    df = spark.createDataFrame([("a@b.com", 1, "x", 2, 3), (None, 1, "x", 2, 3)], "text string, row long, found string, n_entities int, of int")
+    got = pii.replace_pii(df, "k").collect()
+    assert sorted(r.n_entities for r in got) == [0, 1] and all((r.row, r.found, r.of) == (1, "x", 3) for r in got)
+
+
 # ------------------------------------------------------------ pipeline
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver test data not present")
