@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.common import field_type, query, read, spans, text_chunks, utf8
+from casemart.llm.common import field_type, query, read, spans, text_chunks, utf8, worker_tables
 from casemart.llm.pretokens import Splitter, segments
 
 TABLE_ROWS = 300_000
@@ -216,15 +216,12 @@ class Encoder:
         return ids, ends[upto]
 
 
-_made: dict[tuple, Encoder | Decoder] = {}
-
-
 def _once(kind: type, content: bytes, *more: str) -> Encoder | Decoder:
     """One encoder or decoder per Python worker and vocabulary, kept between tasks."""
-    key = (kind, len(content), zlib.crc32(content), *more)
-    if key not in _made:
-        _made[key] = kind(load_ranks(content), *more)
-    return _made[key]
+    made, key = worker_tables("bpe"), (kind, len(content), zlib.crc32(content), *more)
+    if key not in made:
+        made[key] = kind(load_ranks(content), *more)
+    return made[key]
 
 
 def _vocabulary(df: DataFrame, path: str):

@@ -8,6 +8,8 @@ bound is a chunk of its own (texts are always whole).
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -53,6 +55,28 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+_kept: dict[str, dict] = {}
+
+
+def worker_tables(owner: str) -> dict:
+    """What this Python worker keeps between tasks of one operator.
+
+    Spark reuses its workers, so the tables of an operator would stay beside
+    those of the next one; a task of another owner drops them and gives their
+    memory back to the system.
+    """
+    if owner not in _kept:
+        if _kept:
+            _kept.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+            if trim:
+                trim(0)
+        _kept[owner] = {}
+    return _kept[owner]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

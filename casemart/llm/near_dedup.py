@@ -6,8 +6,9 @@ agree; two sets of similarity 0.8 miss every band with probability 5e-8.  Of
 each minimum the low four bits are retained and packed into eight longs;
 mismatching groups of bits are counted by ``bit_count`` and corrected for
 chance agreement (1 in 16), and a pair goes on unless the estimate is more than
-five standard deviations under the threshold.  What goes on is confirmed on
-the full sets, so no false link stays.
+five standard deviations under the threshold, which a linked pair is with a
+probability under 1e-6.  What goes on is confirmed on the full sets, so no false
+link stays.
 
 Work per group of copies is linear where a quadratic result is not needed:
 
@@ -20,8 +21,8 @@ Work per group of copies is linear where a quadratic result is not needed:
   where one side is outside the group's largest component.  A pair inside one
   component cannot change the result.  Of the others, those are dropped whose
   parity maps (2,048 places) differ in more places than two linked sets can
-  differ in shingles, which is certain; the rest is confirmed, so no link is
-  lost however large the group is, and few pairs are more than links.
+  differ in shingles, which is certain; the rest is confirmed, so the size of a
+  group costs no link, and few pairs are more than links.
 
 Nothing is collected to the driver; hubs and components come from grouped
 aggregates (combined map-side) and joins whose other side has one row a key,
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemart.llm.common import ORACLE, mix, query, read
+from casemart.llm.common import ORACLE, mix, query, read, worker_tables
 from casemart.llm.graph import connected_components
 from casemart.llm.shingles import shingle_sets
 from casemart.session import stage_table
@@ -50,8 +51,8 @@ MINIMA, BAND_ROWS, BITS = 128, 4, 4
 TRIES = 3
 #: Places of the parity maps.
 PARITY = 2048
-#: Classes that a task of the search between components holds at once.
-BLOCK = 4096
+#: Classes that a task of the search between components holds at once, and that it streams past them.
+BLOCK = 2048
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 32, MINIMA, np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, MINIMA, np.uint32)
@@ -84,6 +85,7 @@ def packed(m: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """``(doc_id, n, s1, s2, bands, bits)``; s1 and s2 identify the whole set."""
     def sign(batches):
+        worker_tables("near_dedup")
         for b in batches:
             for row, sets in shingle_sets(b.column(1), width):
                 n = np.array([len(s) for s in sets], np.int64)
@@ -114,6 +116,7 @@ def parity(shingles: np.ndarray) -> np.ndarray:
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """``(node, shingles, odd)`` of the given documents."""
     def sets_of(batches):
+        worker_tables("near_dedup")
         for b in batches:
             for row, sets in shingle_sets(b.column(1), width):
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
@@ -158,31 +161,40 @@ def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     them outside its largest (``main``), that the filters let pass.
 
     ``rows`` has (key, node, component, main, n, bits, odd).  The rows outside
-    the largest component are dealt in blocks of about ``BLOCK`` a group; a task
-    holds one block and streams the rows of the group past it.
+    the largest component are dealt in blocks of about ``BLOCK`` a group, all rows
+    of the group in salts of as many; a task holds one block and streams one salt
+    past it, so a hot group is split on both sides.
     """
     outside = rows.filter("component <> main")
-    blocks = (outside.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
-    mine = outside.join(blocks, "key").select("key", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.lit(0).alias("side"),
-                                              "node", "component", "main", "n", "bits", "odd")
-    every = (rows.join(blocks, "key").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("key", "block", F.lit(1).alias("side"), "node", "component", "main", "n", "bits", "odd"))
+    sizes = rows.groupBy("key").agg(F.ceil(F.count_if(F.col("component") != F.col("main")) / BLOCK).alias("blocks"),
+                                    F.ceil(F.count("*") / BLOCK).alias("salts"))
+    carried = ("node", "component", "main", "n", "bits", "odd")
+
+    def each(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    mine = (outside.join(sizes, "key").withColumn("salt", each("salts"))
+            .select("key", F.pmod(F.xxhash64("node"), "blocks").alias("block"), "salt", F.lit(0).alias("side"), *carried))
+    every = (rows.join(sizes.filter("blocks > 0"), "key").withColumn("block", each("blocks"))
+             .select("key", "block", F.pmod(F.xxhash64("node", F.lit(1)), "salts").alias("salt"), F.lit(1).alias("side"), *carried))
     most = most_mismatches(percent)
 
     def compare(batches):
         group, held = None, []
         for b in batches:
-            key, block, side, node, comp, main, n = (c.to_numpy() for c in b.columns[:7])
+            key, block, salt, side, node, comp, main, n = (c.to_numpy() for c in b.columns[:8])
             bits, odd = (c.values.slice(c.offsets[0].as_py(), c.offsets[-1].as_py() - c.offsets[0].as_py()).to_numpy()
-                         .view(np.uint64).reshape(b.num_rows, -1) for c in b.columns[7:])
-            edge = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (side[1:] != side[:-1])) + 1
+                         .view(np.uint64).reshape(b.num_rows, -1) for c in b.columns[8:])
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (salt[1:] != salt[:-1]) | (side[1:] != side[:-1])) + 1
             for a, z in zip(np.concatenate([[0], edge]), np.concatenate([edge, [b.num_rows]])):
-                if (key[a], block[a]) != group:
-                    group, held = (key[a], block[a]), []
+                if (key[a], block[a], salt[a]) != group:
+                    group, held = (key[a], block[a], salt[a]), []
                 part = tuple(x[a:z] for x in (node, comp, n, bits, odd))
                 if side[a] == 0:
                     held.append(part)
                     continue
+                if not held:                # hashing left this block empty
+                    continue
                 if len(held) > 1:
                     held = [tuple(map(np.concatenate, zip(*held)))]
                 for at in range(0, z - a, 256):
@@ -190,7 +202,7 @@ def _cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
                     if len(found[0]):
                         yield pa.RecordBatch.from_arrays(list(map(pa.array, found)), names=["u", "v", "nu", "nv"])
 
-    both = mine.unionByName(every).repartition("key", "block").sortWithinPartitions("key", "block", "side")
+    both = mine.unionByName(every).repartition("key", "block", "salt").sortWithinPartitions("key", "block", "salt", "side")
     return both.mapInArrow(compare, "u long, v long, nu long, nv long")
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.common import field_type, fold, mix, query, read, span_hashes, text_chunks, utf8, words
+from casemart.llm.common import field_type, fold, mix, query, read, span_hashes, text_chunks, utf8, words, worker_tables
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -131,6 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, recipe: Recipe) -> np.ndarray:
     sample = docs.join(F.broadcast(chosen), "doc_id")      # at most train_rows ids
 
     def learn(batches):
+        worker_tables("quality")
         texts, y = [], []
         for b in batches:
             texts.append(utf8(b.column(1)))
@@ -150,6 +151,7 @@ def score_documents(df: DataFrame, logits: np.ndarray, recipe: Recipe = Recipe()
     shared, at = df.sparkSession.sparkContext.broadcast(logits), df.columns.index(text_col)
 
     def score(batches):
+        worker_tables("quality")
         for b in batches:
             parts = [score_chunk(data, offsets, shared.value, recipe) for _, _, data, offsets in text_chunks(b.column(at), 2 << 20)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(parts) if parts else np.zeros(0))],
