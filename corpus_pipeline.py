@@ -51,7 +51,9 @@ def quality(spark, docs, sf_dir):
 @_stage
 def near_dedup(spark, docs, sf_dir):
     kept = near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    # of rows that share an id the least one stays, whatever the order they are read in
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    one = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
     return one.unionByName(docs.filter("doc_id IS NULL"))
 
 
