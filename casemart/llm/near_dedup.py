@@ -7,7 +7,7 @@ each minimum the low four bits are retained and packed into eight longs;
 mismatching groups of bits are counted by ``bit_count`` and corrected for
 chance agreement (1 in 16), and a pair goes on unless the estimate is more than
 five standard deviations under the threshold, which a linked pair is with a
-probability under 1e-6.  What goes on is confirmed on the full sets, so no false
+probability of 1.4e-6 at most.  What goes on is confirmed on the full sets, so no false
 link stays.
 
 Work per group of copies is linear where a quadratic result is not needed:
