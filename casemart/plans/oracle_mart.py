@@ -182,10 +182,10 @@ cand AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id_bairro ORDER BY similarity DESC, distance, bairro_canonico_key) AS rk
   FROM cand),
--- the uncut ranking; values are reported down to 0.7 (0.8 for names over 44 characters)
+-- the uncut ranking; values are reported down to 0.7
 reported AS (
   SELECT r.* FROM ranked r JOIN unresolved u USING (id_bairro)
-  WHERE r.similarity >= CASE WHEN length(u.u) <= 44 THEN 0.7::DOUBLE ELSE 0.85::DOUBLE - 0.05::DOUBLE END),
+  WHERE r.similarity >= 0.7::DOUBLE),
 fuzzy AS (
   SELECT u.id_bairro, b.bairro_canonico AS bairro_by_fuzzy, b.id_bairro_canonico AS id_bairro_canonico_by_fuzzy,
          b.query_geocoding AS query_geocoding_by_fuzzy, b.similarity AS best_similarity,
@@ -551,3 +551,21 @@ serving AS ({ORACLE["vw_casos_espaciais_serving"].split(MART_CTES, 1)[1]})
 SELECT ce.*, g.id_bairro_canonico, g.bairro_padronizado, g.latitude, g.longitude, g.latitude_plot,
        g.longitude_plot, g.is_mappable, g.spatial_status, g.spatial_quality, g.geocode_source
 FROM serving ce LEFT JOIN geo_dim_draft g ON ce.id_bairro = g.id_bairro"""
+
+# Names over 64 characters, one canonical name a supplier; every pair is compared.
+ORACLE["match_long_names"] = f"""
+WITH canon AS (SELECT {mk("'Casa ' || md5(s_name) || ' ' || md5(s_name || '#')")} AS c,
+                      'Casa ' || md5(s_name) || ' ' || md5(s_name || '#') AS name FROM supplier),
+src AS (
+  SELECT s_suppkey * 4 + v AS id_bairro, {mk("""substr(n, 1, p - 1) || repeat('z', [0, 12, 19, 30][v + 1]) || substr(n, p + [1, 12, 19, 30][v + 1])""")} AS u
+  FROM (SELECT s_suppkey, unnest(range(4)) AS v, 6 + (s_suppkey % 30) AS p, 'Casa ' || md5(s_name) || ' ' || md5(s_name || '#') AS n FROM supplier)),
+pairs AS (
+  SELECT id_bairro, name, c, levenshtein(u, c)::INTEGER AS distance, 1 - levenshtein(u, c) / greatest(length(u), length(c)) AS similarity
+  FROM src, canon),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id_bairro ORDER BY similarity DESC, distance, c) AS rk FROM pairs),
+seen AS (SELECT * FROM ranked WHERE rk <= 2 AND similarity >= 0.7::DOUBLE)
+SELECT s.id_bairro, length(s.u)::INTEGER AS key_length, a.name AS bairro_by_fuzzy, a.similarity AS best_similarity, a.distance AS best_distance,
+       b.name AS second_best_match, coalesce(a.similarity >= 0.85::DOUBLE AND a.similarity - t.similarity >= 0.05::DOUBLE, false) AS fuzzy_accepted
+FROM src s LEFT JOIN seen a ON a.id_bairro = s.id_bairro AND a.rk = 1 LEFT JOIN seen b ON b.id_bairro = s.id_bairro AND b.rk = 2
+LEFT JOIN ranked t ON t.id_bairro = s.id_bairro AND t.rk = 2
+"""

@@ -346,6 +346,17 @@ def match_fuzzy_top2(spark, sf_dir):
     return _spatial(spark, sf_dir)[2].fuzzy_scores()
 
 
+@query("match_long_names")
+def match_long_names(spark, sf_dir):
+    """The fuzzy step on names over 64 characters, whose number grows with the suppliers."""
+    from casemart.operators import match as M
+    w = World(spark, sf_dir)
+    names = w.long_spellings().withColumn("bairro_original_key", match_key(F.col("bairro_original")))
+    scores = M.fuzzy_scores(names, M.prepare_canonical(w.long_places()))
+    return (names.select("id_bairro", F.length("bairro_original_key").alias("key_length")).join(scores, "id_bairro")
+            .select("id_bairro", "key_length", "bairro_by_fuzzy", "best_similarity", "best_distance", "second_best_match", "fuzzy_accepted"))
+
+
 @query("match_summary")
 def match_summary(spark, sf_dir):
     from casemart.operators.quality import match_summary as ms

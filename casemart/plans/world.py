@@ -276,6 +276,23 @@ class World:
         return p.select(F.col("p_name").alias("place_key"), ((size % 4) + 1).cast("int").alias("query_no"),
                         key.alias("position"), F.to_json(obj).alias("response"))
 
+    def long_places(self) -> DataFrame:
+        """Canonical names of 70 characters, one a supplier, that are unlike each
+        other but for their beginning."""
+        name = F.concat(F.lit("Casa "), F.md5("s_name"), F.lit(" "), F.md5(F.concat("s_name", F.lit("#"))))
+        return self.t("supplier").select(F.col("s_suppkey").alias("id_bairro_canonico"), name.alias("bairro_canonico"),
+                                         F.lit(None).cast("string").alias("query_geocoding"))
+
+    def long_spellings(self) -> DataFrame:
+        """Four spellings a long name: a letter dropped, or 12, 19 or 30 letters overwritten."""
+        cut, put = F.array(*map(F.lit, (1, 12, 19, 30))), F.array(*map(F.lit, (0, 12, 19, 30)))
+        c = self.long_places().select("*", F.posexplode(cut).alias("v", "cut"))
+        at = (6 + F.col("id_bairro_canonico") % 30).cast("int")
+        name = F.col("bairro_canonico")
+        return c.select((F.col("id_bairro_canonico") * 4 + F.col("v")).alias("id_bairro"), F.concat(
+            name.substr(F.lit(1), at - 1), F.repeat(F.lit("z"), F.element_at(put, F.col("v") + 1)),
+            name.substr(at + F.col("cut"), F.lit(1 << 20))).alias("bairro_original"))
+
     def geocoder_errors(self) -> DataFrame:
         """Failed lookups: the 'cold ...' name family timed out."""
         return (self.t("part").select(F.col("p_name").alias("place_key")).distinct()

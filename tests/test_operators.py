@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -133,9 +134,15 @@ def test_blocked_candidates_equal_brute_force(spark, us, cs):
     assert got == want
 
 
-def test_segment_plan_segments_cover_key():
-    for la, lc, k, seg, st_, ln in segment_plan(20, 0.8):
-        assert ln >= 1 and 0 <= st_ and st_ + ln <= lc and seg <= k
+def test_segment_plan_segments_cover_key(spark):
+    whole = {}
+    for la, lc, k, cut, seg, st_, ln in segment_plan(20, 0.8):
+        assert ln >= 1 and seg < cut and cut > k
+        whole.setdefault((la, lc, cut), []).append((st_, ln))
+    for (_, lc, _), parts in whole.items():
+        assert [x for st_, ln in sorted(parts) for x in range(st_, st_ + ln)] == list(range(lc))
+    for floor in (0.7, 0.8):
+        assert sorted(map(tuple, M.segment_plan_frame(spark, 20, floor).collect())) == sorted(segment_plan(20, floor))
 
 
 # ---------------------------------------------------------------- curate
@@ -295,3 +302,57 @@ def test_audit_lists_failures_as_rows(spark):
     b = spark.createDataFrame([("x", 1), (None, 3)], "v string, k long")
     r = content_differences(a, b, "t").first()
     assert (r.columns_compared, r.rows_missing, r.rows_unexpected) == (2, 2, 1)
+
+
+def _names(spark, us, cs):
+    u = spark.createDataFrame(list(enumerate(us, 1)), "id_bairro int, bairro_original_key string")
+    c = spark.createDataFrame([(c, c, i, None) for i, c in enumerate(cs, 1)],
+                              "bairro_canonico_key string, bairro_canonico string, id_bairro_canonico int, query_geocoding string")
+    return u, c
+
+
+def _pairs_at(us, cs, floor):
+    return {(i, b) for i, a in enumerate(us, 1) for b in cs if 1 - _lev(a, b) / max(len(a), len(b)) >= floor}
+
+
+@pytest.mark.parametrize("cap,hot", [(64, 1), (64, 1024), (10, 2)])
+def test_candidates_at_the_last_floor_equal_brute_force_at_every_length(spark, cap, hot):
+    """Lengths 3 to 90 around both filters' border, with repeated beginnings and hot segments in salts of few keys."""
+    import random
+    rnd = random.Random(5)
+    cs = sorted({"vila " * (i % 3) + "".join(rnd.choice("abcde ") for _ in range(3 + i)) for i in range(80)})
+    us = []
+    for c in cs:
+        w = list(c)
+        for _ in range(max(1, int(len(w) * rnd.choice([0.05, 0.2, 0.28, 0.33])))):
+            at = rnd.randrange(len(w))
+            w[at:at + 1] = rnd.choice([[], [rnd.choice("abcde")], [w[at], "e"]])
+            w = w or ["a"]
+        us.append("".join(w))
+    u, c = _names(spark, us, cs)
+    got = {(r.id_bairro, r.bairro_canonico_key) for r in M.fuzzy_candidates(u, c, MatchConfig(max_segment_len=cap, hot=hot), 0.7).collect()}
+    assert got == _pairs_at(us, cs, 0.7)
+
+
+def test_candidates_per_name_stay_few_under_a_shared_prefix(spark):
+    """400 names that begin alike: the shared segments are not among the rarest, so they pair nobody."""
+    import random
+    rnd = random.Random(6)
+    cs = ["residencial " + "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(400)]
+    us = [c[:15] + c[16:] for c in cs]
+    u, c = _names(spark, us, cs)
+    u2 = u.withColumnRenamed("bairro_original_key", "u").withColumn("la", F.length("u"))
+    c2 = c.withColumnRenamed("bairro_canonico_key", "c").withColumn("lc", F.length("c"))
+    pairs = M.segment_pairs(u2, c2, 24, 0.8)
+    assert pairs.count() <= 20 * len(us)                     # of 400 * 400
+    assert {r.id_bairro for r in pairs.filter(F.concat(F.substring("c", 1, 15), F.substring("c", 17, 99)) == F.col("u")).collect()} == set(range(1, 401))
+
+
+def test_long_and_short_names_are_searched_to_the_same_floor(spark):
+    base = "conjunto habitacional nossa senhora aparecida jardim das palmeiras setor norte"
+    names = [base[:n] for n in (20, 44, 45, 64, 78)]
+    us = ["#" * (len(n) // 4) + n[len(n) // 4:] for n in names]            # similarity 0.75
+    u, _ = _names(spark, us, [])
+    _, c = _names(spark, [], names)
+    got = {r.id_bairro: r for r in M.fuzzy_scores(u, c).collect()}
+    assert all(abs(got[i].best_similarity - (1 - (len(n) // 4) / len(n))) < 1e-12 for i, n in enumerate(names, 1))
