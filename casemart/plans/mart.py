@@ -29,7 +29,11 @@ from casemart.operators import geocode as G
 from casemart.operators import match as M
 from casemart.operators import quality as Q
 from casemart.operators import spatial as SP
-from casemart.session import freeze
+from casemart.session import freeze, stage_counted, stage_table
+
+SERIES_KEYS = ("id_tempo", "id_doenca")
+DATED_KEYS = ("id_doenca", "id_bairro", "id_sexo", "id_tempo")
+UNDATED_KEYS = ("id_doenca", "id_bairro", "id_sexo")
 
 
 @dataclass
@@ -42,6 +46,8 @@ class CaseMart:
     series_defaults: Mapping[str, str] = field(default_factory=dict)   # fonte -> category when absent
     undated_reference_year: int = 2026
     stored_series: dict[str, DataFrame] = field(default_factory=dict)  # fonte -> its stored fact
+    input_rows: dict[str, int] = field(default_factory=dict)           # fonte -> rows, where counted as it was written
+    written: dict[str, dict[str, int]] = field(default_factory=dict)   # final fact -> counts taken as it was written
 
     # ------------------------------------------------------------ dimensions
     def _series_prepared(self, fonte: str) -> DataFrame:
@@ -69,9 +75,14 @@ class CaseMart:
         return freeze(D.build_dimension([self.dated.select("sexo"), self.undated.select("sexo")], "sexo", "id_sexo"))
 
     # ----------------------------------------------------------------- facts
+    def _store(self, name: str, fact: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        """Stored fact; its rows and null keys are counted by the write itself."""
+        table, self.written[name] = stage_counted(fact, name, keys)
+        return table
+
     def series_fact(self, fonte: str) -> DataFrame:
         if fonte not in self.stored_series:
-            self.stored_series[fonte] = freeze(self._series_fact(fonte))
+            self.stored_series[fonte] = self._store(f"{fonte}_final", self._series_fact(fonte), SERIES_KEYS)
         return self.stored_series[fonte]
 
     def _series_fact(self, fonte: str) -> DataFrame:
@@ -86,10 +97,10 @@ class CaseMart:
         if "unidade_notificacao" not in base.columns:
             base = base.withColumn("unidade_notificacao", F.lit(None).cast("string"))
         base = FX.with_calendar_keys(FX.with_normalized(base, ["doenca", "bairro", "sexo"]), "data")
-        return freeze(FX.resolve_keys(
+        return self._store(f"{self.dated_source}_final", FX.resolve_keys(
             base, [FX.DimRef(self.dim_doenca, ["doenca"]), FX.DimRef(self.dim_bairro, ["bairro"]),
                    FX.DimRef(self.dim_sexo, ["sexo"]), FX.DimRef(self.dim_tempo, ["ano", "mes", "ordem_mes"])],
-            ["id_doenca", "id_bairro", "id_sexo", "id_tempo", "data", "idade", "unidade_notificacao"]))
+            ["id_doenca", "id_bairro", "id_sexo", "id_tempo", "data", "idade", "unidade_notificacao"]), DATED_KEYS)
 
     @cached_property
     def undated_fact(self) -> DataFrame:
@@ -97,10 +108,10 @@ class CaseMart:
         if "ano_referencia" not in base.columns:
             base = base.withColumn("ano_referencia", F.lit(self.undated_reference_year))
         base = FX.with_normalized(base, ["doenca", "bairro", "sexo"])
-        return freeze(FX.resolve_keys(
+        return self._store(f"{self.undated_source}_final", FX.resolve_keys(
             base, [FX.DimRef(self.dim_doenca, ["doenca"]), FX.DimRef(self.dim_bairro, ["bairro"]),
                    FX.DimRef(self.dim_sexo, ["sexo"])],
-            ["id_doenca", "id_bairro", "id_sexo", "ano_referencia", "idade"]))
+            ["id_doenca", "id_bairro", "id_sexo", "ano_referencia", "idade"]), UNDATED_KEYS)
 
     def case_groups(self) -> DataFrame:
         """Cases per source, category, place and month (or year), counted on the
@@ -155,17 +166,52 @@ class CaseMart:
         return dated.unionByName(undated)
 
     # ----------------------------------------------------------------- audits
+    def _finals(self) -> dict[str, tuple[str, DataFrame, tuple[str, ...]]]:
+        """final fact -> (fonte, table, keys); reading the tables builds them."""
+        out = {f"{f}_final": (f, self.series_fact(f), SERIES_KEYS) for f in self.series}
+        out[f"{self.dated_source}_final"] = (self.dated_source, self.dated_fact, DATED_KEYS)
+        out[f"{self.undated_source}_final"] = (self.undated_source, self.undated_fact, UNDATED_KEYS)
+        return out
+
     def null_key_audit(self) -> DataFrame:
-        facts = {f"{f}_final": (self.series_fact(f), ["id_tempo", "id_doenca"]) for f in self.series}
-        facts[f"{self.dated_source}_final"] = (self.dated_fact, ["id_doenca", "id_bairro", "id_sexo", "id_tempo"])
-        facts[f"{self.undated_source}_final"] = (self.undated_fact, ["id_doenca", "id_bairro", "id_sexo"])
-        return Q.null_key_audit(facts)
+        """Null keys per final fact, as counted by its write; a fact that came
+        from elsewhere is scanned."""
+        finals = self._finals()
+        known = [(name, k, self.written[name][f"{k}_nulls"]) for name, (_, _, keys) in finals.items() if name in self.written for k in keys]
+        out = self.dim_doenca.sparkSession.createDataFrame(known, "table_name string, key_column string, nulls bigint")
+        other = {name: (df, keys) for name, (_, df, keys) in finals.items() if name not in self.written}
+        return out.unionByName(Q.null_key_audit(other)) if other else out
 
     def row_preservation(self) -> DataFrame:
-        pairs = {f: (self.series[f], self.series_fact(f)) for f in self.series}
-        pairs[self.dated_source] = (self.dated, self.dated_fact)
-        pairs[self.undated_source] = (self.undated, self.undated_fact)
-        return Q.row_preservation(pairs)
+        """Rows before and after key resolution, as counted by the writes; what
+        came from elsewhere is scanned."""
+        before = {**self.series, self.dated_source: self.dated, self.undated_source: self.undated}
+        finals = {fonte: (name, df) for name, (fonte, df, _) in self._finals().items()}
+        whole = [f for f in before if f in self.input_rows and finals[f][0] in self.written]
+        rows = [(f, self.input_rows[f], n := self.written[finals[f][0]]["rows"], self.input_rows[f] == n) for f in whole]
+        out = self.dim_doenca.sparkSession.createDataFrame(rows, "label string, original bigint, final bigint, preserved boolean")
+        other = {f: (df, finals[f][1]) for f, df in before.items() if f not in whole}
+        return out.unionByName(Q.row_preservation(other)) if other else out
+
+    # ------------------------------------------------------- partitioned cases
+    @cached_property
+    def stored_cases(self) -> DataFrame:
+        """``casos_espaciais`` as a table in folders by source and year, so that a
+        report on some years reads those alone.  Rebalanced by folder, a hot
+        source or year gets as many files as its size asks for."""
+        cases = self.casos_espaciais().hint("rebalance", "fonte", "ano")
+        return stage_table(cases, "cases-by-year", partition_by=("fonte", "ano"))
+
+    def last_full_year(self) -> DataFrame:
+        """``ano``: the last year with all twelve months in the calendar."""
+        months = self.dim_tempo.groupBy("ano").agg(F.countDistinct("ordem_mes").alias("n"))
+        return months.filter("n = 12").agg(F.max("ano").alias("ano"))
+
+    def cases_of_last_full_year(self) -> DataFrame:
+        """Cases per source, category, place and month of that year; the year is
+        known at run time only, and prunes the folders then."""
+        return (self.stored_cases.join(F.broadcast(self.last_full_year()), "ano")       # one row
+                .groupBy("fonte", "ano", "doenca", "bairro", "mes").agg(F.count(F.lit(1)).alias("casos")))
 
 
 @dataclass
@@ -213,8 +259,11 @@ class SpatialMart:
         places = self.places()
         variants = G.query_variants(places)
         scored = G.score_candidates(G.parse_candidates(self.candidates))
+        errors = G.malformed_answers(self.candidates)
+        if self.lookup_errors is not None:
+            errors = errors.unionByName(self.lookup_errors.select("place_key", "error"))
         return freeze(G.best_candidates(places, variants, scored, "place_key",
-                                        created_at=F.lit(None).cast("string"), errors=self.lookup_errors))
+                                        created_at=F.lit(None).cast("string"), errors=errors))
 
     def corrected(self) -> DataFrame:
         corr = self.corrections if self.corrections is not None else self.draft.sparkSession.createDataFrame(

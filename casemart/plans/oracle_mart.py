@@ -569,3 +569,32 @@ SELECT s.id_bairro, length(s.u)::INTEGER AS key_length, a.name AS bairro_by_fuzz
 FROM src s LEFT JOIN seen a ON a.id_bairro = s.id_bairro AND a.rk = 1 LEFT JOIN seen b ON b.id_bairro = s.id_bairro AND b.rk = 2
 LEFT JOIN ranked t ON t.id_bairro = s.id_bairro AND t.rk = 2
 """
+
+# ------------------------------------------------------ report levels, positions, answers
+
+_MAPPABLE = """count(*) AS total_cases, CAST(sum(CASE WHEN is_mappable = true THEN 1 ELSE 0 END) AS BIGINT) AS mappable_cases,
+  CAST(sum(CASE WHEN is_mappable = false THEN 1 ELSE 0 END) AS BIGINT) AS non_mappable_cases"""
+ORACLE["mappability_levels"] = f"""WITH {GEO_CTES},
+r AS (SELECT NULL AS fonte, NULL AS doenca, 'total' AS level, {_MAPPABLE} FROM cases_geo
+  UNION ALL SELECT fonte, NULL, 'source', {_MAPPABLE} FROM cases_geo GROUP BY fonte
+  UNION ALL SELECT fonte, doenca, 'category', {_MAPPABLE} FROM cases_geo GROUP BY fonte, doenca)
+SELECT *, CAST((20000 * mappable_cases + total_cases) // (2 * total_cases) AS DOUBLE) / 100.0 AS mappable_percentage
+FROM r WHERE total_cases > 0"""
+ORACLE["quality_levels"] = f"""WITH {GEO_CTES}
+SELECT NULL AS fonte, spatial_status, spatial_quality, is_mappable, 'total' AS level, count(*) AS registros
+FROM cases_geo GROUP BY spatial_status, spatial_quality, is_mappable
+UNION ALL SELECT fonte, spatial_status, spatial_quality, is_mappable, 'source', count(*)
+FROM cases_geo GROUP BY fonte, spatial_status, spatial_quality, is_mappable"""
+ORACLE["cases_of_last_full_year"] = f"""WITH {MART_CTES},
+full_year AS (SELECT max(ano) AS ano FROM (SELECT ano FROM dim_tempo GROUP BY ano HAVING count(DISTINCT ordem_mes) = 12))
+SELECT fonte, ano, doenca, bairro, mes, count(*) AS casos FROM casos_espaciais JOIN full_year USING (ano)
+GROUP BY fonte, ano, doenca, bairro, mes"""
+ORACLE["sheet_file_position"] = """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id,
+       l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey::BIGINT AS l_partkey, l_suppkey::BIGINT AS l_suppkey
+FROM lineitem"""
+ORACLE["geocode_answers"] = """
+SELECT p_name AS place_key,
+       CAST(sum(CASE WHEN p_partkey % 11 = 0 THEN 0 WHEN p_partkey % 4 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS candidates,
+       CASE WHEN bool_or(p_partkey % 11 = 0) THEN 'error: malformed answer' END AS status
+FROM part GROUP BY p_name"""

@@ -24,7 +24,6 @@ from casemart.operators import quality as Q
 from casemart.operators import reshape as R
 from casemart.operators import spatial as SP
 from casemart.operators.curate import require_unique_rules
-from casemart.operators.dims import ordinal
 from casemart.plans import reference_data as RD
 from casemart.plans.mart import CaseMart, SpatialMart
 from casemart.sources import tables as T
@@ -38,18 +37,14 @@ class PipelineConfig:
     approve_geocoding: bool = False
     fail_on_validation: bool = True
     candidates_table: str = "bairro_geocoding_candidates"   # place_key, query_no, position, response (JSON)
+    errors_table: str = "bairro_geocoding_errors"           # optional: place_key, error
+    corrections_table: str = "bairro_geocoding_corrections"  # optional: bairro, manual_latitude, manual_longitude, manual_source
     written: list[str] = field(default_factory=list)
 
 
 def file_position(df: DataFrame, out_col: str = "row_id") -> DataFrame:
-    """1-based row position of a headerless sheet in file order.
-
-    Contract: the sheet is one file read as one split (spreadsheets are
-    small); the position is then the scan order.  Computed with the
-    distributed ``ordinal`` operator, not a single-partition window.
-    """
-    return ordinal(df.withColumn("_cm_scan", F.monotonically_increasing_id()), ["_cm_scan"], out_col) \
-        .drop("_cm_scan")
+    """1-based row position of a headerless sheet in file order, over all its files and splits."""
+    return T.with_file_position(df, out_col)
 
 
 class Pipeline:
@@ -59,6 +54,10 @@ class Pipeline:
     def src(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.cfg.source_prefix}.{name}")
 
+    def optional(self, name: str) -> DataFrame | None:
+        found = T.resolve_source(self.spark, [(f"{self.cfg.source_prefix}.{name}", "present")])
+        return self.spark.table(found.name) if found.name else None
+
     def store(self, name: str, df: DataFrame) -> DataFrame:
         """Write-then-reload barrier between steps."""
         full = f"{self.cfg.target_prefix}.{name}"
@@ -124,8 +123,8 @@ class Pipeline:
         candidates = self.spark.table(cand.name) if cand.name else T.empty_table(
             self.spark, "place_key string, query_no int, position long, response string")
         sm = SpatialMart(mart, canonical, aliases, rules, candidates, manual_points=points,
-                         approve_geocoding=self.cfg.approve_geocoding,
-                         source_mode="draft" if cand.name else "missing")
+                         approve_geocoding=self.cfg.approve_geocoding, lookup_errors=self.optional(self.cfg.errors_table),
+                         corrections=self.optional(self.cfg.corrections_table), source_mode="draft" if cand.name else "missing")
         sm.standardized = self.store("ref_bairro_padronizado", sm.standardized)
         sm.curated = self.store("ref_bairro_padronizado_curado", sm.curated)
         self.store("ref_bairros_para_geocoding", sm.worklist())
@@ -134,8 +133,12 @@ class Pipeline:
             validated = sm.validated()
             if validated is not None:
                 self.store("bairro_geocoding_validated", validated)
-        geo = sm.geo_dim if cand.name else SP.geo_dimension(mart.dim_bairro, sm.curated, None, points, "missing")
-        sm.geo_dim = self.store("dim_bairro_geografica", geo)
+        # what an earlier run approved stays in force: validated over draft over none
+        known = T.resolve_source(self.spark, [(f"{self.cfg.target_prefix}.bairro_geocoding_validated", "validated"),
+                                              (f"{self.cfg.target_prefix}.bairro_geocoding_draft", "draft")])
+        sm.source_mode = known.mode
+        sm.geo_dim = self.store("dim_bairro_geografica", SP.geo_dimension(
+            mart.dim_bairro, sm.curated, self.spark.table(known.name) if known.name else None, points, known.mode))
         sm.cases_geo = SP.cases_geo(mart.casos_espaciais(), mart.dim_bairro, sm.geo_dim)
         sm.cases_geo.createOrReplaceTempView("vw_casos_espaciais_geo")
         SP.map_counts(sm.cases_geo).createOrReplaceTempView("vw_mapa_casos_bairro")

@@ -17,7 +17,7 @@ from casemart.operators import dims as D
 from casemart.operators import facts as FX
 from casemart.operators import reshape as R
 from casemart.plans.world import World
-from casemart.session import stage_table
+from casemart.session import stage_counted
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -201,13 +201,19 @@ def _build_mart(spark: SparkSession, sf_dir: str):
     w = World(spark, sf_dir)
     series = {"pedidos": R.series_from_sheet(w.monthly_sheet(), "_c0", w.series_layout(), "pedidos"),
               "status_pedidos": R.series_from_stacked_sheet(w.stacked_sheet(), "row_id", "_c0", w.stacked_layout())}
+    rows = {}
+    for f, df in series.items():
+        series[f], seen = stage_counted(df, f"series-{f}")
+        rows[f] = seen["rows"]
     # the cleaned line lists feed four dimensions and two facts: store them
     # once as intermediate tables (columnar, so each dimension scan is pruned)
-    dated = stage_table(FX.clean_dated_linelist(w.raw_dated_cases(), DATED_SOURCE), "linelist_dated")
-    undated = stage_table(FX.clean_undated_linelist(w.raw_undated_cases(), UNDATED_SOURCE,
-                                                    UNDATED_REFERENCE_YEAR), "linelist_undated")
+    dated, seen = stage_counted(FX.clean_dated_linelist(w.raw_dated_cases(), DATED_SOURCE), "linelist_dated")
+    rows[f"{DATED_SOURCE}_espacial"] = seen["rows"]
+    undated, seen = stage_counted(FX.clean_undated_linelist(w.raw_undated_cases(), UNDATED_SOURCE,
+                                                            UNDATED_REFERENCE_YEAR), "linelist_undated")
+    rows[f"{UNDATED_SOURCE}_espacial"] = seen["rows"]
     mart = CaseMart(series, dated, undated, dated_source=f"{DATED_SOURCE}_espacial",
-                    undated_source=f"{UNDATED_SOURCE}_espacial", undated_reference_year=UNDATED_REFERENCE_YEAR)
+                    undated_source=f"{UNDATED_SOURCE}_espacial", undated_reference_year=UNDATED_REFERENCE_YEAR, input_rows=rows)
     return w, mart
 
 
@@ -494,6 +500,53 @@ def mappability_report(spark, sf_dir):
     return mr(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
 
 
+@query("mappability_levels")
+def mappability_levels(spark, sf_dir):
+    from casemart.operators.spatial import mappability_levels as ml
+    return ml(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
+
+
+@query("quality_levels")
+def quality_levels(spark, sf_dir):
+    from casemart.operators.spatial import quality_levels as ql
+    return ql(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
+
+
+@query("cases_of_last_full_year")
+def cases_of_last_full_year(spark, sf_dir):
+    return _mart(spark, sf_dir)[1].cases_of_last_full_year()
+
+
+@query("sheet_file_position")
+def sheet_file_position(spark, sf_dir):
+    """Every line item written in order as a headerless sheet of several files,
+    then read back by position: its rows are numbered across files and splits."""
+    import uuid
+
+    from casemart.session import checkpoint_dir
+    from casemart.sources.tables import read_raw_sheet, with_file_position
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = World(spark, sf_dir).t("lineitem").select(*keys, "l_shipdate", "l_returnflag")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sheet-{uuid.uuid4().hex}"
+    lines.repartitionByRange(3, *keys).sortWithinPartitions(*keys).write.csv(path)
+    sheet = with_file_position(read_raw_sheet(spark, path, len(lines.columns)))
+    return sheet.select("row_id", *[F.col(f"_c{i}").cast("long").alias(k) for i, k in enumerate(keys)])
+
+
+@query("geocode_answers")
+def geocode_answers(spark, sf_dir):
+    """Candidates and malformed answers per place, where every eleventh answer is
+    cut off and every fourth holds an array of two."""
+    from casemart.operators.geocode import malformed_answers, parse_candidates
+    answer, key = F.col("response"), F.col("position")
+    raw = World(spark, sf_dir).geocoder_candidates().withColumn("response", F.when(key % 11 == 0, F.expr("substr(response, 1, length(response) - 5)"))
+                                        .when(key % 4 == 0, F.concat(F.lit("["), answer, F.lit(","), answer, F.lit("]"))).otherwise(answer))
+    parsed = parse_candidates(raw).groupBy("place_key").agg(F.count(F.lit(1)).alias("candidates"))
+    places = raw.select("place_key").distinct()
+    return (places.join(parsed, "place_key", "left").join(malformed_answers(raw), "place_key", "left")
+            .select("place_key", F.coalesce("candidates", F.lit(0)).alias("candidates"), F.concat(F.lit("error: "), "error").alias("status")))
+
+
 @query("fatal_checks")
 def fatal_checks(spark, sf_dir):
     from casemart.operators.quality import fatal_spatial_checks
@@ -588,7 +641,12 @@ def export_reconcile(spark, sf_dir):
     root = f"{checkpoint_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
     ordered_load([(n, objs[n]) for n in order], lambda n, df: df.write.mode("overwrite").parquet(f"{root}/{n}"))
     target = count_rows({n: spark.read.parquet(f"{root}/{n}") for n in order})
-    return reconcile(count_rows({n: objs[n] for n in order}), target)
+    # the facts were counted when they were written; only dimensions are counted now
+    m = _mart(spark, sf_dir)[1]
+    facts = {"fato_dated_final": f"{m.dated_source}_final", "fato_undated_final": f"{m.undated_source}_final",
+             **{f"fato_{f}_final": f"{f}_final" for f in m.series}}
+    known = spark.createDataFrame([(n, m.written[f]["rows"]) for n, f in facts.items()], "object_name string, rows bigint")
+    return reconcile(known.unionByName(count_rows({n: objs[n] for n in order if n not in facts})), target)
 
 
 @query("export_contents")

@@ -66,14 +66,26 @@ def freeze(df):
     return stage_table(df, "frozen")
 
 
-def stage_table(df, name: str, compression: str = "snappy"):
+def stage_table(df, name: str, compression: str = "snappy", partition_by: tuple[str, ...] = ()):
     """Write a stage output as parquet under the shared checkpoint folder and
     read it back (the intermediate tables of the run book).  Unlike a
     checkpoint the result is columnar, so later scans prune columns and push
-    filters down."""
+    filters down; ``partition_by`` lets them skip whole folders."""
     import uuid
 
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path, compression=compression)
+    df.write.mode("overwrite").parquet(path, compression=compression, partitionBy=list(partition_by) or None)
     return spark.read.parquet(path)
+
+
+def stage_counted(df, name: str, null_keys: tuple[str, ...] = ()):
+    """``(stored table, counts)``: ``rows`` and ``<key>_nulls`` are counted while
+    the table is written, by the tasks that write it, so no audit scans it again."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"{k}_nulls") for k in null_keys]]
+    table = stage_table(df.observe(seen, *counts), name)
+    return table, dict(seen.get)

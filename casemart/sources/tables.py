@@ -11,10 +11,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from casemart.session import freeze, stage_table
+
 
 # ------------------------------------------------------------------ sources
 
@@ -25,6 +27,26 @@ def read_raw_sheet(spark: SparkSession, path: str, n_cols: int, sep: str = ",",
     return spark.read.csv(path, header=False, schema=schema, sep=sep, encoding=encoding)
 
 
+def with_file_position(df: DataFrame, out_col: str = "row_id") -> DataFrame:
+    """1-based row position in file order: by file path, then place in the file.
+
+    ``df`` reads files or a table of files, which may be cut into any number of
+    splits.  A task reads a split's rows in order, so within a split the row
+    number follows ``monotonically_increasing_id``; the splits are put in order
+    by path and start of the split, and a split's rows begin after those of the
+    splits before it.  The rows are stored once with their split, as a scan may
+    be cut otherwise the next time; only one row a split is counted and summed.
+    """
+    source = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    rows = stage_table(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), source.alias("split"),
+                                 F.monotonically_increasing_id().alias("at")), "file-position")
+    splits = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1))     # a row a split
+    splits = freeze(splits.select("split", "first", F.coalesce(before, F.lit(0)).alias("before")))
+    return (rows.join(splits, "split")
+            .select("row.*", (F.col("before") + F.col("at") - F.col("first") + 1).alias(out_col)))
+
+
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType | str) -> DataFrame:
     """In-code rule/reference table with an explicit schema (nullability
     included); small by construction."""

@@ -96,3 +96,22 @@ def test_pipeline_end_to_end(spark):
     # a writer that loses rows is noticed
     recon = p.export(lambda name, df: df.limit(1).write.mode("overwrite").parquet(os.path.join(root, name)), read)
     assert recon.filter(~F.col("matches")).count() > 0
+
+
+def test_an_approved_geocoding_stays_in_force(spark):
+    """Errors and corrections reach the draft; a run with the flag off keeps what an earlier run validated."""
+    db = "cm_keep"
+    _setup(spark, db)
+    spark.createDataFrame([("vila nova", "read timed out")], "place_key string, error string").write.saveAsTable(f"{db}.bairro_geocoding_errors")
+    spark.createDataFrame([("Centro", -21.3, -50.5, "review")], "bairro string, manual_latitude double, manual_longitude double, manual_source string") \
+        .write.saveAsTable(f"{db}.bairro_geocoding_corrections")
+
+    def run(approve):
+        Pipeline(spark, PipelineConfig(source_prefix=db, target_prefix=db, fail_on_validation=False, approve_geocoding=approve)).run()
+        return {r.bairro_original_dim: r for r in spark.table(f"{db}.dim_bairro_geografica").collect()}
+
+    assert run(False)["centro"].spatial_status == "draft_geocoding"
+    draft = {r.bairro: r.geocode_status for r in spark.table(f"{db}.bairro_geocoding_draft").collect()}
+    assert draft["Vila Nova"] == "error: read timed out"
+    first, later = run(True)["centro"], run(False)["centro"]
+    assert (first.spatial_status, first.latitude) == (later.spatial_status, later.latitude) == ("validated_geocoding", -21.3)
