@@ -598,3 +598,6 @@ SELECT p_name AS place_key,
        CAST(sum(CASE WHEN p_partkey % 11 = 0 THEN 0 WHEN p_partkey % 4 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS candidates,
        CASE WHEN bool_or(p_partkey % 11 = 0) THEN 'error: malformed answer' END AS status
 FROM part GROUP BY p_name"""
+ORACLE["ordered_cases_per_place"] = f"""SELECT *, row_number() OVER (ORDER BY count DESC, doenca NULLS FIRST, bairro NULLS FIRST) AS position
+FROM ({ORACLE["linelist_cases_per_place"]})"""
+ORACLE["top_places"] = f"""SELECT * FROM ({ORACLE["linelist_cases_per_place"]}) ORDER BY count DESC, doenca NULLS FIRST, bairro NULLS FIRST LIMIT 20"""

@@ -8,8 +8,9 @@ and map views -> spatial validation -> ordered export with reconciliation.
 
 Every stage output is written as a table (``write_table``) and the next
 stage reads it back, so a failed stage restarts from stored data and the
-lineage of each job stays short.  Views are registered as temp views (or
-persistent views where the catalog supports them).
+lineage of each job stays short; a failed write leaves the table as it was.
+Views are registered as temp views for the run and, over the stored tables, as
+views of the catalog that any session can read (``views.py``).
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators import facts as FX
+from casemart.operators import match as M
 from casemart.operators import quality as Q
 from casemart.operators import reshape as R
 from casemart.operators import spatial as SP
 from casemart.operators.curate import require_unique_rules
 from casemart.plans import reference_data as RD
 from casemart.plans.mart import CaseMart, SpatialMart
+from casemart.plans.views import create_views
 from casemart.sources import tables as T
 
 
@@ -61,7 +64,7 @@ class Pipeline:
     def store(self, name: str, df: DataFrame) -> DataFrame:
         """Write-then-reload barrier between steps."""
         full = f"{self.cfg.target_prefix}.{name}"
-        T.write_table(df, full, fmt=self.cfg.fmt)
+        T.replace_table(df, full, fmt=self.cfg.fmt)
         self.cfg.written.append(name)
         return self.spark.table(full)
 
@@ -116,6 +119,8 @@ class Pipeline:
         T.require_columns(canonical, ["id_bairro_canonico", "bairro_canonico", "bairro_canonico_norm",
                                       "query_geocoding"], "canonical table")
         T.require_columns(aliases, ["alias_norm_observado", "bairro_canonico_sugerido"], "alias table")
+        self.store("ref_bairros_canonicos", M.prepare_canonical(canonical))
+        self.store("ref_bairros_alias", M.prepare_aliases(aliases))
         rules = T.literal_table(self.spark, RD.MANUAL_RULES, RD.MANUAL_RULES_SCHEMA)
         require_unique_rules(rules, "bairro_original_key")
         points = T.literal_table(self.spark, RD.MANUAL_POINTS, RD.MANUAL_POINTS_SCHEMA)
@@ -144,6 +149,7 @@ class Pipeline:
         SP.map_counts(sm.cases_geo).createOrReplaceTempView("vw_mapa_casos_bairro")
         SP.mappable_only(SP.map_counts(sm.cases_geo)).createOrReplaceTempView("vw_mapa_casos_bairro_mapeavel")
         SP.quality_counts(sm.cases_geo).createOrReplaceTempView("vw_qualidade_espacial")
+        create_views(self.spark, self.cfg.target_prefix, mart)
         self.store("ref_bairro_geocoding_manual_review_queue", SP.non_mappable_by_place(sm.cases_geo))
         Q.raise_on_failure(Q.fatal_spatial_checks(sm.cases_geo))
         return sm

@@ -596,6 +596,24 @@ def linelist_cases_per_place(spark, sf_dir):
             .groupBy("doenca", "bairro").agg(F.count(F.lit(1)).alias("count")))
 
 
+@query("ordered_cases_per_place")
+def ordered_cases_per_place(spark, sf_dir):
+    """The cases per place written most cases first, and each row's place in the files."""
+    import uuid
+
+    from casemart.session import checkpoint_dir
+    from casemart.sources.tables import with_file_position, write_ordered
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ordered-{uuid.uuid4().hex}"
+    write_ordered(linelist_cases_per_place(spark, sf_dir), path, [F.col("count").desc(), F.col("doenca"), F.col("bairro")])
+    return with_file_position(spark.read.parquet(path), "position")
+
+
+@query("top_places")
+def top_places(spark, sf_dir):
+    """Preview: the twenty places with most cases."""
+    return linelist_cases_per_place(spark, sf_dir).orderBy(F.col("count").desc(), "doenca", "bairro").limit(20)
+
+
 def _final_objects(spark, sf_dir) -> dict[str, DataFrame]:
     _, m, sm = _spatial(spark, sf_dir)
     objs = {"dim_tempo": m.dim_tempo, "dim_doenca": m.dim_doenca, "dim_bairro": m.dim_bairro,

@@ -7,11 +7,12 @@ load, its reconciliation and the object audit are DataFrames of counts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -153,6 +154,35 @@ def write_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "ove
         w.saveAsTable(name)
 
 
+def replace_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
+    """Overwrite a catalog table so that a failed write leaves the old one.
+
+    The rows go to a fresh folder beside the table; only when all are there is
+    the table pointed to it, by one change of its location where the columns are
+    the same, else by making it anew.  ``df`` may read the table it replaces.
+    The folder of the version before stays, for sessions that still read it.
+    """
+    spark = df.sparkSession
+    db, _, table = name.rpartition(".")
+    described = spark.sql(f"DESCRIBE DATABASE {db or spark.catalog.currentDatabase()}").filter("info_name = 'Location'").first()
+    path = f"{described.info_value.rstrip('/')}/{table}-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(path)
+    if table_exists(spark, name) and spark.table(name).dtypes == df.dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+def write_ordered(df: DataFrame, path: str, order: Sequence[Column], fmt: str = "parquet") -> None:
+    """Files in global order: the rows are range-partitioned on ``order`` (sampled
+    bounds) and sorted within each partition, so file names follow the order and
+    nothing passes through one task.  A preview needs no file:
+    ``df.orderBy(...).limit(n)`` keeps the n first of each task and merges those."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.format(fmt).save(path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], mode: str = "append",
                batch_size: int = 1000, truncate: bool = False) -> None:
     """Relational sink: executors write their partitions in batches of

@@ -115,3 +115,42 @@ def test_an_approved_geocoding_stays_in_force(spark):
     assert draft["Vila Nova"] == "error: read timed out"
     first, later = run(True)["centro"], run(False)["centro"]
     assert (first.spatial_status, first.latitude) == (later.spatial_status, later.latitude) == ("validated_geocoding", -21.3)
+
+
+def test_views_live_in_the_catalog(spark):
+    """Another session over the same catalog reads the rows of the plans."""
+    db = "cm_views"
+    _setup(spark, db)
+    spark.sql(f"USE {db}")
+    try:
+        sm = Pipeline(spark, PipelineConfig(source_prefix=db, target_prefix=db, fail_on_validation=False)).run()
+    finally:
+        spark.sql("USE default")
+    other = spark.newSession()
+    plans = {"vw_serie_temporal": sm.mart.serie_temporal(), "vw_casos_espaciais": sm.mart.casos_espaciais(), "vw_casos_espaciais_geo": sm.cases_geo,
+             "vw_mapa_casos_bairro": spark.table("vw_mapa_casos_bairro"), "vw_mapa_casos_bairro_mapeavel": spark.table("vw_mapa_casos_bairro_mapeavel"),
+             "vw_qualidade_espacial": spark.table("vw_qualidade_espacial")}
+    for name, plan in plans.items():
+        view = other.table(f"{db}.{name}")
+        assert view.dtypes == plan.dtypes, name
+        assert sorted(map(str, view.collect())) == sorted(map(str, plan.collect())) != [], name
+    assert "id_tempo" in other.table(f"{db}.vw_casos_espaciais_serving").columns
+    assert other.table(f"{db}.vw_mapa_serving").count() == plans["vw_mapa_casos_bairro_mapeavel"].count()
+    assert {"ref_bairros_canonicos", "ref_bairros_alias"} <= {t.name for t in other.catalog.listTables(db)}
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    import pytest
+
+    from casemart.sources.tables import replace_table
+    spark.sql("CREATE DATABASE IF NOT EXISTS cm_safe")
+    rows = spark.range(10).withColumn("v", F.lit("old"))
+    replace_table(rows, "cm_safe.t")
+    bad = spark.range(100).repartition(4).select("id", F.when(F.col("id") == 77, F.raise_error(F.lit("boom"))).otherwise("new").alias("v"))
+    with pytest.raises(Exception, match="boom"):
+        replace_table(bad, "cm_safe.t")
+    assert {(r.v, r.n) for r in spark.table("cm_safe.t").groupBy("v").agg(F.count("*").alias("n")).collect()} == {("old", 10)}
+    replace_table(spark.table("cm_safe.t").withColumn("v", F.lit("new")), "cm_safe.t")           # it may read what it replaces
+    assert {r.v for r in spark.table("cm_safe.t").collect()} == {"new"}
+    replace_table(spark.range(3), "cm_safe.t")                                                  # other columns
+    assert spark.table("cm_safe.t").columns == ["id"] and spark.table("cm_safe.t").count() == 3

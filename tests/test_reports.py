@@ -119,3 +119,20 @@ def test_broken_and_listed_answers(spark):
     got = {r.bairro: (r.geocode_status, r.latitude) for r in draft.collect()}
     assert got == {"Centro": ("error: malformed answer", None), "Serra": ("error: malformed answer", None), "Vila": ("found", -21.2),
                    "Lago": ("not_found", None), "Ilha": ("not_found", None)}
+
+
+# ---- ordered output
+
+def test_files_follow_the_order(spark, tmp_path):
+    from casemart.sources.tables import write_ordered
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.when(F.col("id") % 3 == 0, "hot").alias("g")).repartition(6)
+    order = [F.col("g").desc(), F.col("k")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_ordered(df, str(tmp_path / "o"), order)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "o").glob("part-*"))) > 1
+    got = [(r.g, r.k) for r in with_file_position(spark.read.parquet(str(tmp_path / "o"))).orderBy("row_id").collect()]
+    assert got == [(r.g, r.k) for r in df.orderBy(*order).collect()]
+    assert "TakeOrderedAndProject" in plan_of(df.orderBy(*order).limit(20))
