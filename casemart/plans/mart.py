@@ -283,7 +283,11 @@ class SpatialMart:
 
     @cached_property
     def cases_geo(self) -> DataFrame:
-        return SP.cases_geo(self.mart.casos_espaciais(), self.mart.dim_bairro, self.geo_dim, by="name")
+        """Cases with the geographic dimension, joined by the place id that the facts hold."""
+        cases = self.mart.casos_espaciais(keep_ids=True)
+        out = SP.cases_geo(cases, self.mart.dim_bairro, self.geo_dim, by="id")
+        held = [c for c in cases.columns if c not in ("id_doenca", "id_bairro", "id_sexo", "id_tempo")]
+        return out.select(*held, "id_bairro", *[c for c in out.columns if c not in cases.columns])
 
     @cached_property
     def groups_geo(self) -> DataFrame:

@@ -601,3 +601,29 @@ FROM part GROUP BY p_name"""
 ORACLE["ordered_cases_per_place"] = f"""SELECT *, row_number() OVER (ORDER BY count DESC, doenca NULLS FIRST, bairro NULLS FIRST) AS position
 FROM ({ORACLE["linelist_cases_per_place"]})"""
 ORACLE["top_places"] = f"""SELECT * FROM ({ORACLE["linelist_cases_per_place"]}) ORDER BY count DESC, doenca NULLS FIRST, bairro NULLS FIRST LIMIT 20"""
+
+# ------------------------------------------------------ every branch; values stated here, not taken from the package
+
+ORACLE["rules_duplicated_brands"] = f"""SELECT bairro_original_key, count(*) AS occurrences
+FROM (SELECT DISTINCT {mk('p_brand')} AS bairro_original_key, p_type FROM part) GROUP BY bairro_original_key HAVING count(*) > 1"""
+ORACLE["geocode_corrected_narrow_box"] = f"""WITH {SPATIAL_CTES},
+p AS (SELECT *, CASE WHEN id_bairro_canonico % 3 < 2 THEN -21.2::DOUBLE ELSE latitude END AS lat,
+             CASE WHEN id_bairro_canonico % 3 = 0 THEN -50.45::DOUBLE ELSE longitude END AS lon FROM draft),
+s AS (SELECT *, lat BETWEEN -21.25::DOUBLE AND -21.1::DOUBLE AND lon BETWEEN -50.6::DOUBLE AND -50.3::DOUBLE AS inside FROM p)
+SELECT id_bairro_canonico, bairro, lat AS latitude_final, lon AS longitude_final, inside AS is_inside_bbox_final,
+  CASE WHEN id_bairro_canonico % 3 = 0 THEN 'manual review' ELSE 'nominatim_osm' END AS geocode_source_final,
+  CASE WHEN lat IS NULL OR lon IS NULL THEN 'not_found' WHEN inside THEN 'found' ELSE 'found_outside_bbox' END AS geocode_status_final,
+  lat IS NULL OR lon IS NULL OR NOT inside OR candidate_score < 5 AS needs_review_final FROM s"""
+ORACLE["geo_dimension_statuses"] = """
+WITH k AS (SELECT p_partkey::INTEGER AS k, mode FROM part, (SELECT unnest(['validated', 'draft', 'missing']) AS mode)),
+p AS (SELECT *, k % 13 <> 0 AS named, k % 5 = 0 AS by_hand, k % 13 <> 0 AND k % 4 <> 0 AS located FROM k),
+c AS (SELECT *, CASE WHEN by_hand THEN -21.2::DOUBLE WHEN located THEN -21.0::DOUBLE - (k % 500)::DOUBLE / 1000.0::DOUBLE END AS latitude,
+  CASE WHEN NOT named THEN 'unresolved_name' WHEN k % 7 = 0 THEN 'not_geocodable_source_name' WHEN by_hand THEN 'manual_reference_point'
+       WHEN NOT located THEN 'missing_coordinates' WHEN k % 500 NOT BETWEEN 50 AND 350 THEN 'outside_bbox'
+       WHEN k % 12 < 9 THEN 'low_confidence_geocoding' WHEN mode = 'validated' THEN 'validated_geocoding'
+       WHEN mode = 'draft' THEN 'draft_geocoding' ELSE 'geocoded' END AS spatial_status FROM p)
+SELECT mode, k AS id_bairro, latitude, coalesce(latitude, -21.2089::DOUBLE) AS latitude_plot,
+  latitude IS NOT NULL AND spatial_status IN ('manual_reference_point', 'validated_geocoding', 'draft_geocoding') AS is_mappable, spatial_status,
+  CASE spatial_status WHEN 'validated_geocoding' THEN 'high' WHEN 'manual_reference_point' THEN 'medium' WHEN 'draft_geocoding' THEN 'medium'
+       WHEN 'low_confidence_geocoding' THEN 'low' WHEN 'outside_bbox' THEN 'low' ELSE 'unresolved' END AS spatial_quality,
+  CASE WHEN by_hand THEN 'mapa' WHEN named THEN 'osm' ELSE mode END AS geocode_source FROM c"""

@@ -408,6 +408,14 @@ def rules_duplicated(spark, sf_dir):
     return duplicated_rule_keys(World(spark, sf_dir).manual_rules(), "bairro_original_key")
 
 
+@query("rules_duplicated_brands")
+def rules_duplicated_brands(spark, sf_dir):
+    """Rule keys that occur more than once where every brand and type gives a rule."""
+    from casemart.operators.curate import duplicated_rule_keys
+    rules = World(spark, sf_dir).t("part").select(match_key(F.col("p_brand")).alias("bairro_original_key"), "p_type").distinct()
+    return duplicated_rule_keys(rules, "bairro_original_key")
+
+
 @query("curation_null_check")
 def curation_null_check(spark, sf_dir):
     from casemart.operators.quality import curation_null_check as cnc
@@ -500,6 +508,30 @@ def mappability_report(spark, sf_dir):
     return mr(_spatial(spark, sf_dir)[2].groups_geo, weight="casos")
 
 
+@query("geocode_corrected_narrow_box")
+def geocode_corrected_narrow_box(spark, sf_dir):
+    """Corrections over the draft in a narrower box: every third place gets both
+    coordinates by hand, every other third the latitude alone, and points fall outside."""
+    from casemart.functions.geo import BBox
+    from casemart.operators.geocode import apply_corrections
+    draft, k = _spatial(spark, sf_dir)[2].draft, F.col("id_bairro_canonico") % 3
+    hand = draft.filter(k < 2).select("bairro", F.lit(-21.2).alias("manual_latitude"), F.when(k == 0, F.lit(-50.45)).alias("manual_longitude"),
+                                      F.lit("manual review").alias("manual_source"))
+    done = apply_corrections(draft, hand, BBox(min_lat=-21.25, max_lat=-21.1, min_lon=-50.6, max_lon=-50.3))
+    return done.select("id_bairro_canonico", "bairro", "latitude_final", "longitude_final", "geocode_source_final", "is_inside_bbox_final",
+                       "geocode_status_final", "needs_review_final")
+
+
+@query("geo_dimension_statuses")
+def geo_dimension_statuses(spark, sf_dir):
+    """The geographic dimension of places that meet every case of the cascade, in all three modes."""
+    from casemart.operators.spatial import geo_dimension as gd
+    places, standardized, geocoded, points = World(spark, sf_dir).hard_places()
+    parts = [gd(places, standardized, geocoded, points, mode).withColumn("mode", F.lit(mode)) for mode in ("validated", "draft", "missing")]
+    return reduce(DataFrame.unionByName, parts).select("mode", "id_bairro", "latitude", "latitude_plot", "is_mappable", "spatial_status",
+                                                       "spatial_quality", "geocode_source")
+
+
 @query("mappability_levels")
 def mappability_levels(spark, sf_dir):
     from casemart.operators.spatial import mappability_levels as ml

@@ -293,6 +293,24 @@ class World:
             name.substr(F.lit(1), at - 1), F.repeat(F.lit("z"), F.element_at(put, F.col("v") + 1)),
             name.substr(at + F.col("cut"), F.lit(1 << 20))).alias("bairro_original"))
 
+    def hard_places(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """``(places, standardized, geocoded, manual points)``, a place a part, in
+        which every case of the status cascade occurs: no canonical id, a name not
+        to be geocoded, a point set by hand, no coordinates, a point outside the
+        box, a low score."""
+        k = F.col("p_partkey").cast("int")
+        name = F.concat(F.lit("Lugar "), k.cast("string"))
+        p = self.t("part")
+        standardized = p.select(k.alias("id_bairro"), F.when(k % 13 != 0, k).alias("id_bairro_canonico"), name.alias("bairro_padronizado"),
+                                (k % 7 != 0).alias("use_for_geocoding"))
+        has = k % 4 != 0
+        geocoded = p.select(k.alias("id_bairro_canonico"), F.when(has, F.lit(-21.0) - (k % 500) / F.lit(1000.0)).alias("latitude"),
+                            F.when(has, F.lit(-50.4)).alias("longitude"), (k % 500).between(50, 350).alias("is_inside_bbox"),
+                            (k % 12).alias("candidate_score"), F.lit("osm").alias("geocode_source_final"))
+        points = p.filter(k % 5 == 0).select(name.alias("bairro_padronizado"), F.lit(-21.2).alias("manual_latitude"),
+                                             F.lit(-50.43).alias("manual_longitude"), F.lit("mapa").alias("manual_geocode_source"))
+        return p.select(k.alias("id_bairro"), F.col("p_name").alias("bairro")), standardized, geocoded, points
+
     def geocoder_errors(self) -> DataFrame:
         """Failed lookups: the 'cold ...' name family timed out."""
         return (self.t("part").select(F.col("p_name").alias("place_key")).distinct()

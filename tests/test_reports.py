@@ -136,3 +136,17 @@ def test_files_follow_the_order(spark, tmp_path):
     got = [(r.g, r.k) for r in with_file_position(spark.read.parquet(str(tmp_path / "o"))).orderBy("row_id").collect()]
     assert got == [(r.g, r.k) for r in df.orderBy(*order).collect()]
     assert "TakeOrderedAndProject" in plan_of(df.orderBy(*order).limit(20))
+
+
+# ---- branches that the plain data never reach
+
+@needs_data
+def test_every_branch_occurs(spark):
+    from casemart.plans.queries import REGISTRY as Q
+    seen = {(r.spatial_status, r.spatial_quality) for r in Q["geo_dimension_statuses"](spark, SF_SMOKE).collect()}
+    assert {s for s, _ in seen} == {"unresolved_name", "not_geocodable_source_name", "manual_reference_point", "missing_coordinates", "outside_bbox",
+                                    "low_confidence_geocoding", "validated_geocoding", "draft_geocoding", "geocoded"}
+    assert {q for _, q in seen} == {"high", "medium", "low", "unresolved"}
+    done = Q["geocode_corrected_narrow_box"](spark, SF_SMOKE).collect()
+    assert {r.geocode_status_final for r in done} >= {"found", "found_outside_bbox"} and {r.geocode_source_final for r in done} == {"manual review", "nominatim_osm"}
+    assert Q["rules_duplicated_brands"](spark, SF_SMOKE).count() > 0
