@@ -1,10 +1,15 @@
 """URL allow/block lists as a broadcast trie.
 
 The trie runs over the reversed host labels (``net``, ``example``, ...) and
-then over the complete path segments of a rule.  A lookup walks down the
+then over the complete path segments of a rule.  A rule that ends inside a
+segment stands at its node under the text it ends with; a lookup tries one
+slice of the url's segment per distinct length there, the longest first, so
+its cost does not grow with the rules of a node.  A lookup walks down the
 labels of the url's host once and, at every node that carries path rules, down
 its path segments; the deepest rule that fits is the verdict.  A longer host
-beats a shorter one and, for the same host, a longer path a shorter one.
+beats a shorter one and, for the same host, a longer path a shorter one.  Of
+rules with the same host and path ``block`` beats every other verdict, else
+the smallest verdict stays, whatever the order of the list.
 
 Rules are a configuration list: ``UrlTrie`` refuses more than ``MAX_RULES``,
 so the broadcast has a proven size bound.
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from casemart.llm.common import ORACLE, field_type, query, read
 
 MAX_RULES = 1_000_000
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 @dataclass(frozen=True)
@@ -44,10 +50,16 @@ class Rule:
 class _Node:
     children: dict[str, _Node] = field(default_factory=dict)
     rule: Rule | None = None                                    # ends exactly here
-    partial: list[tuple[str, Rule]] = field(default_factory=list)  # path ends inside the next segment
+    partial: dict[str, Rule] = field(default_factory=dict)      # path ends inside the next segment
+    lengths: list[int] = field(default_factory=list)            # of those ends, the longest first
     paths: _Node | None = None                                  # path trie of a host node
 
 
+def _stronger(old: Rule | None, new: Rule) -> Rule:
+    """The rule that stays where two have the same host and path."""
+    return new if old is None else min(old, new, key=lambda r: (r.verdict != "block", r.verdict))
+
+
 class UrlTrie:
     def __init__(self, rules: Sequence[Rule]):
         if len(rules) > MAX_RULES:
@@ -55,7 +67,7 @@ class UrlTrie:
         self.root = _Node()
         for r in rules:
             node = self.root
-            for label in reversed(r.host.lower().split(".")):
+            for label in reversed(r.host.translate(_LOWER).split(".")):
                 node = node.children.setdefault(label, _Node())
             node.paths = node.paths or _Node()
             *whole, rest = r.path.split("/")
@@ -63,10 +75,11 @@ class UrlTrie:
             for segment in whole:
                 node = node.children.setdefault(segment, _Node())
             if rest:
-                node.partial.append((rest, r))
-                node.partial.sort(key=lambda x: -len(x[0]))
+                node.partial[rest] = _stronger(node.partial.get(rest), r)
+                if len(rest) not in node.lengths:
+                    node.lengths = sorted([*node.lengths, len(rest)], reverse=True)
             else:
-                node.rule = r
+                node.rule = _stronger(node.rule, r)
 
     def find(self, host: str, path: str) -> Rule | None:
         """The rule with the longest host, then the longest path, that fits."""
@@ -83,8 +96,13 @@ class UrlTrie:
     def _by_path(node: _Node, path: str) -> Rule | None:
         best, at = node.rule, 0
         while True:
-            best = next((r for rest, r in node.partial if path.startswith(rest, at)), best)
             slash = path.find("/", at)
+            left = (len(path) if slash < 0 else slash) - at
+            for n in node.lengths:
+                hit = node.partial.get(path[at:at + n]) if n <= left else None
+                if hit:
+                    best = hit
+                    break
             if slash < 0:
                 return best
             node = node.children.get(path[at:slash])
@@ -97,7 +115,9 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", ur
                default: str = "allow") -> DataFrame:
     """``(id, host, path, rule, verdict)`` of every row."""
     trie = df.sparkSession.sparkContext.broadcast(UrlTrie(rules))
-    rest = F.when(F.instr(url_col, "://") > 0, F.expr(f"substring({url_col}, instr({url_col}, '://') + 3)"))
+    url = F.col(f"`{url_col}`")
+    after = F.instr(url, "://")
+    rest = F.when(after > 0, F.substring(url, after + 3, F.length(url)))
     host = F.coalesce(F.regexp_extract(rest, r"(?s)\A[^/?#]*", 0), F.lit(""))
     path = F.coalesce(F.regexp_extract(rest, r"(?s)\A[^/?#]*([^?#]*)", 1), F.lit(""))
     host = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -111,7 +131,7 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", ur
                  pa.array([r.verdict if r else default for r in hits], pa.string())],
                 names=[id_col, "host", "path", "rule", "verdict"])
 
-    return (df.select(id_col, host.alias("host"), path.alias("path"))
+    return (df.select(F.col(f"`{id_col}`"), host.alias("host"), path.alias("path"))
             .mapInArrow(judge, f"`{id_col}` {field_type(df, id_col)}, host string, path string, rule string, verdict string"))
 
 

@@ -143,6 +143,24 @@ def test_trie_finds_the_longest_rule(pairs, host, path):
     assert url_filter.UrlTrie(rules).find(host, path) == rule_by_scan(rules, host, path)
 
 
+def test_rules_of_one_host_and_path():
+    """Block wins over every other verdict, in any order; many ends in one segment are looked up by length."""
+    Rule, find = url_filter.Rule, lambda rules, *at: url_filter.UrlTrie(rules).find(*at)
+    for path in ("/a/", "/a"):
+        pair = [Rule("allow", "NET", path), Rule("block", "net", path)]
+        assert {find(r, "x.net", "/a/b").verdict for r in (pair, pair[::-1])} == {"block"}
+    many = [Rule("block", "net", f"/{'p' * (i % 40)}{i}") for i in range(20_000)]
+    trie = url_filter.UrlTrie(many)
+    assert [len(n.lengths) <= 46 for n in trie.root.children["net"].paths.children.values()] == [True]
+    assert all(trie.find("net", many[i].path + "x/y").path in (many[i].path, "/" + "p" * (i % 40) + str(i)) for i in range(0, 20_000, 777))
+
+
+def test_url_column_with_odd_names(spark):
+    ship_package(spark)
+    df = spark.createDataFrame([(1, "http://a.net/x")], "`page id` long, `the.url` string")
+    assert url_filter.judge_urls(df, url_filter.QUERY_RULES, "page id", "the.url").collect()[0].verdict == "block"
+
+
 def test_urls_judged(spark):
     ship_package(spark)
     urls = [None, "", "no scheme", "http://X.Example.NET/en/1?q=/fr/", "http://example.net", "http://example.net?x", "ftp://a.org/fr/#x",
