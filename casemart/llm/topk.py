@@ -19,7 +19,8 @@ smallest id hashes), the annulus table has at most ``pivots * annuli`` rows.
 Neighbouring annuli of a pivot form blocks of about ``block_rows`` vectors; an
 annulus with more (say, a third of all rows with one vector) is salted into
 several; queries are dealt in groups of ``block_queries``.  A task holds one
-block and one group of queries.  How many blocks the bounds exclude depends on
+block and one group of queries; a block is copied to the groups that search
+it and to no other.  How many blocks the bounds exclude depends on
 the data: with unclustered vectors in many dimensions most are searched.
 
 Edge cases: vectors null, or holding null or non-finite components, and rows
@@ -117,9 +118,10 @@ class PivotIndex:
 
         return vectors.select("vec_id", "vec").mapInArrow(key, "vec_id long, vec array<long>, cell long, ring long, dist double")
 
-    def _visits(self, queries: DataFrame, k: int) -> DataFrame:
+    def _visits(self, queries: DataFrame, k: int, vectors: bool = True) -> DataFrame:
         """``queries`` (vec_id, vec and perhaps floor: the score to beat) with
-        one row per block and salt that they have to search."""
+        one row per block and salt that they have to search; without
+        ``vectors`` only their ids and one row per block."""
         rings, block, salts = self.rings, self.block, self.salts
         pivots, lift, width, norm2 = self.pivots, self.lift, self.width, self.norm2
         firm = "floor" in queries.columns
@@ -142,6 +144,9 @@ class PivotIndex:
                     np.put_along_axis(need, order, before < k + 1, 1)
                 row, ring = np.nonzero(need)
                 pair = np.unique(np.stack([row, block[ring]]), axis=1)
+                if not vectors:
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pair[0])), pa.array(pair[1])], names=["query_id", "block"])
+                    continue
                 most = np.zeros(block.max() + 1 if len(block) else 0, np.int64)
                 np.maximum.at(most, block, salts)
                 copies = most[pair[1]]
@@ -151,7 +156,7 @@ class PivotIndex:
                 yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(pair[1][at]), pa.array(salt)],
                                                  names=["query_id", "query", "block", "salt"])
 
-        return queries.mapInArrow(visit, "query_id long, query array<long>, block long, salt long")
+        return queries.mapInArrow(visit, "query_id long, query array<long>, block long, salt long" if vectors else "query_id long, block long")
 
     def _blocks(self) -> DataFrame:
         by_ring = {(int(r[0]), int(r[1])): (int(b), int(s)) for r, b, s in zip(self.rings, self.block, self.salts)}
@@ -164,7 +169,10 @@ class PivotIndex:
         groups = max(1, -(-n_queries // block_queries))
         width, exact = self.width, self.exact
         visits = self._visits(queries, k).withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)))
-        held = self._blocks().withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+        # one row a block (there are at most pivots * annuli) with the groups that search it
+        searched = (self._visits(queries, k, vectors=False).select("block", F.pmod(F.xxhash64("query_id"), F.lit(groups)).alias("part"))
+                    .groupBy("block").agg(F.collect_set("part").alias("parts")))
+        held = self._blocks().join(searched, "block").select("block", "salt", F.explode("parts").alias("part"), "vec_id", "vec")
         kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
         def best(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -188,6 +196,7 @@ class PivotIndex:
 
     def search(self, queries: DataFrame, k: int, block_queries: int = 2048) -> DataFrame:
         """``(query_id, rank, vec_id, score)``: the k best other vectors of every query."""
+        queries = stage_table(queries, "pivot-queries")
         n = queries.count()
         near = self._search(queries, k, block_queries, n).filter(F.col("rank") == k).select(
             F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
