@@ -14,7 +14,8 @@ a broadcast table of ``2 ** bits`` floats.
 
 Edge cases: a null or empty text has no features and gets the score of the
 output bias alone.  Labels that are null, or whose document is missing, are not
-learned; the smallest label counts where an id has several.  Without any label
+learned; the smallest label counts where an id has several, the smallest text
+where several rows share an id (one row an id is learned).  Without any label
 to learn from, every score is 0.5.  Repeated rows are scored one by one; extra
 columns are ignored.
 """
@@ -128,7 +129,10 @@ def train(docs: DataFrame, labels: DataFrame, recipe: Recipe) -> np.ndarray:
     """Fit on the sample of ``labels`` (doc_id, label) that the recipe bounds."""
     chosen = (labels.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(recipe.train_rows))
-    sample = docs.join(F.broadcast(chosen), "doc_id")      # at most train_rows ids
+    # at most train_rows ids, a row each
+    sample = (docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+              .agg(F.min(F.struct(F.coalesce("text", F.lit("")).alias("text"), "label")).alias("row"))
+              .select("doc_id", "row.text", "row.label"))
 
     def learn(batches):
         worker_tables("quality")

@@ -139,6 +139,19 @@ def test_topk_repeated_neighbours(spark, times):
     assert [(r.vec_id, r.score) for r in got] == [(i, 256 * 256 * i) for i in (100, 99, 98, 97, 96)]
 
 
+def test_topk_copies_visited_blocks_only(spark):
+    """Far clusters: a query's block goes to its own group, so far fewer rows move than rows times groups."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in 50 * (np.arange(8) == i % 8) + rng.normal(size=8)]) for i in range(1600)]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, v array<double>"), "vec_id", "v")
+    index = topk.PivotIndex(vectors, pivots=16, annuli=64, block_rows=50)
+    queries = vectors.filter("vec_id % 8 = 0 AND vec_id < 64")
+    blocks = {r.block for r in index._visits(queries, 5, vectors=False).collect()}
+    assert 0 < len(blocks) < len(set(index.block.tolist())) / 2
+    got = index.search(queries, 5, block_queries=2)
+    assert got.count() == 40 and {r.vec_id % 8 for r in got.collect()} == {0}
+
+
 def test_topk_few_or_no_vectors(spark):
     for n in (0, 1, 3):
         df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id long, v array<double>")
@@ -217,6 +230,17 @@ def test_quality_learns_and_scores_all(spark):
     assert again == {i: r.score for i, r in got.items()}
 
 
+def test_quality_learns_one_row_an_id(spark):
+    """A labelled id that holds most rows is learned once: the scores are those without its copies."""
+    rows = [(i, "calm river stone" if i % 2 else "BUY!! win###") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    small = quality.Recipe(train_rows=60, bits=10)
+    once = {r.doc_id: r.score for r in quality.quality_scores(docs, labels, small).collect()}
+    many = quality.quality_scores(docs.union(docs.filter("doc_id = 3").crossJoin(spark.range(500)).drop("id")), labels, small)
+    assert {r.doc_id: r.score for r in many.distinct().collect()} == once and many.count() == 560
+
+
 def test_quality_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int")
