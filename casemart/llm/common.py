@@ -148,6 +148,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def add_blocks(blocks: DataFrame, tasks: int, parts: int, leaf: type, mean: bool = False, fan_in: int = 32) -> list:
+    """``(part, n, value)`` rows, in order: the sums over all tasks of the
+    ``blocks`` (part long, n long, value binary) that each task emits, one a
+    part; with ``mean`` the means weighted by ``n``.
+
+    ``value`` holds an array of ``leaf`` numbers, the result doubles.  Tasks are
+    added in a tree, ``fan_in`` of them at a time, so the last step and every
+    other task read a bounded number of arrays, whatever the number of tasks.
+    """
+    def adder(numbers: type):
+        def add(batches):
+            have: dict[tuple[int, int], list] = {}
+            for b in batches:
+                for group, part, n, value in zip(*(c.to_pylist() for c in b.columns)):
+                    x = have.setdefault((group, part), [0, 0])
+                    x[0], x[1] = x[0] + n, x[1] + np.frombuffer(value, numbers).astype(float) * (n if mean else 1)
+            if have:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([g for g, _ in have]), pa.array([p for _, p in have]), pa.array([n for n, _ in have.values()]),
+                     pa.array([(v / n if mean else v).tobytes() for n, v in have.values()])], names=["group", "part", "n", "value"])
+        return add
+
+    kind = "group long, part long, n long, value binary"
+    columns = ["group", "part", "n", "value"]
+    groups = max(1, -(-tasks // fan_in))
+    rows, numbers = blocks.withColumn("group", F.spark_partition_id().cast("long") % groups), leaf
+    while groups > 1:
+        rows = rows.select(*columns).repartition(4 * groups, "group", "part").mapInArrow(adder(numbers), kind)
+        groups, numbers = -(-groups // fan_in), np.float64
+        rows = rows.withColumn("group", F.col("group") % groups)
+    rows = rows.select(*columns).repartition(parts, "part").mapInArrow(adder(numbers), kind)
+    return rows.select("part", "n", "value").orderBy("part").collect()          # parts rows
+
+
 def words(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(start, end, row)`` of every word of a chunk: a run of bytes that are not
     ``blank`` (the default: ``[^\\x20\\x09-\\x0D]+``).

@@ -1,10 +1,14 @@
 """Language-model scores of documents by a hashed maximum-entropy model.
 
-The model predicts each token from its history in two factors: the token's
-class by a softmax over hashed features of the history (the word before, the
-words two and three before it as skips, and the pair before), and the token
-within its class by add-one relative frequency.  Classes are the end of text,
-the most frequent words (one each) and the remaining words by their endings.
+The model predicts each token from its history in factors: the token's class by
+a softmax over hashed features of the history (the word before, the words two
+and three before it as skips, and the pair before); then, by a second softmax
+over features of the class and its history (the word before, the word two
+before), the leaf within the class; and the token within its leaf by add-one
+relative frequency.  Classes are the end of text, the most frequent words (one
+each) and the remaining words by their endings.  The most frequent words of an
+ending have a leaf each, so their probability comes from the history alone; the
+other words of the ending are dealt to ``tails`` leaves by their hashes.
 
 Steps, each a Spark job over all documents:
 
@@ -13,18 +17,21 @@ Steps, each a Spark job over all documents:
    as indices into them.  It is written to the shared folder.
 2. Word counts of the training documents: one row per chunk and distinct word,
    pre-aggregated that way, summed by word.  Counts never leave the executors;
-   the driver sees totals, the head words and one row per class.
+   the driver sees totals, the words with a class or leaf of their own and one
+   row per leaf.
 3. Training goes over every training token once, in ``rounds`` parts.  In a
    round each task makes stochastic gradient steps from the broadcast weights
    through its chunks; the changes are averaged (weighted by tokens) in a
-   distributed sum, and only the mean comes to the driver: ``2 ** bits x
-   classes`` numbers, whatever the size of the data.
+   tree of partial sums, and only the mean comes to the driver: ``2 ** bits x
+   (classes + leaves)`` numbers, whatever the size of the data.
 4. Scoring: counts are joined back to (chunk, word) rows and dealt to their
    chunks; a chunk's tokens are scored in sparse numpy batches.
 
 Training documents are those whose ``crc32(id as text) % modulus`` is not
-``held``.  Unknown words count as one word of their class, so probabilities
-sum to one.
+``held``.  Unknown words count as one word of their leaf, so probabilities
+sum to one.  Weights depend on which documents share a chunk and a task, so
+scores change a little when the files are split otherwise; counts and base
+scores do not.
 
 Edge cases: a null or empty text has one token, the end.  A null id hashes as
 ''.  With nothing to learn from, N and V are 0 and weights stay 0.  Repeated
@@ -38,10 +45,10 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemart.llm.common import fold, lower_ascii, mix, query, read, span_hashes, spans, text_chunks, words
+from casemart.llm.common import add_blocks, fold, lower_ascii, mix, query, read, span_hashes, spans, text_chunks, words
 from casemart.session import stage_table
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -55,6 +62,8 @@ class MaxEnt:
     most_bits: int = 16
     head: int = 31           # words with a class of their own
     endings: int = 32        # classes of all other words
+    own: int = 24            # words of an ending with a leaf of their own
+    tails: int = 8           # leaves of an ending's other words
     rounds: int = 2
     rate: float = 0.3
     batch: int = 8192
@@ -64,6 +73,10 @@ class MaxEnt:
     def classes(self) -> int:
         return 1 + self.head + self.endings
 
+    @property
+    def leaves(self) -> int:
+        return self.own + self.tails
+
     def grown(self, tokens: int) -> MaxEnt:
         """Twice the buckets for four times the tokens, from 2 ** 26 tokens on."""
         return replace(self, bits=max(self.bits, min(self.most_bits, self.bits + (tokens.bit_length() - 27) // 2)))
@@ -121,45 +134,69 @@ def _wide(planes: bytes) -> np.ndarray:
 
 
 class Vocabulary:
-    """Classes and history features of words, by their bytes alone."""
+    """Classes, leaves and history features of words, by their bytes alone."""
 
     def __init__(self, spec: MaxEnt, head: list[bytes]):
         self.spec = spec
         self.head = {w: 1 + i for i, w in enumerate(head)}
         self.head[END] = 0
+        self.own: dict[bytes, int] = {}         # the leaf of a word that has one
 
     def classes(self, names: pa.Array) -> np.ndarray:
         data, offsets = _bytes_of(names)
         start = np.maximum(offsets[1:] - 3, offsets[:-1])
         tail = span_hashes(data, start, offsets[1:])
         out = (1 + self.spec.head + tail % np.uint64(self.spec.endings)).astype(np.int64)
+        return _overlay(out, span_hashes(data, offsets[:-1], offsets[1:]), names, self.head)
+
+    def leaves(self, names: pa.Array) -> np.ndarray:
+        data, offsets = _bytes_of(names)
         full = span_hashes(data, offsets[:-1], offsets[1:])
-        keys = pa.array(list(self.head), pa.binary())
-        kd, ko = _bytes_of(keys)
-        known = span_hashes(kd, ko[:-1], ko[1:])
-        order = np.argsort(known)
-        at = np.minimum(np.searchsorted(known[order], full), len(order) - 1)
-        for i in np.flatnonzero(known[order][at] == full):
-            out[i] = self.head.get(names[int(i)].as_py(), out[i])
-        return out
+        out = (self.spec.own + (mix(full) >> np.uint64(40)) % np.uint64(self.spec.tails)).astype(np.int64)
+        return _overlay(out, full, names, self.own)
 
-    def features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Buckets of every token's history, one row per feature."""
+    def _past(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray, steps: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Word hashes, and for each step back the word there of every token."""
         data, offsets = _bytes_of(names)
         h = np.append(span_hashes(data, offsets[:-1], offsets[1:]), np.uint64(12345))     # the last stands before a text
         begin = np.repeat(np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0))
         place = np.arange(len(tokens)) - begin
         before = []
-        for k in (1, 2, 3):
+        for k in range(1, steps + 1):
             back = np.full(len(tokens), len(h) - 1, np.int64)
             back[k:] = tokens[:-k] if len(tokens) > k else tokens[:0]
             back[place < k] = len(h) - 1
             before.append(back)
+        return h, before
+
+    def features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Buckets of every token's history, one row per feature."""
+        h, before = self._past(names, tokens, ends, 3)
         shift = np.uint64(64 - self.spec.bits)
         out = [(mix(h * np.uint64(2 * k + 3) + np.uint64(k)) >> shift).astype(np.uint16)[back] for k, back in enumerate(before)]
         out.append((mix(h[before[0]] * _STEP + h[before[1]]) >> shift).astype(np.uint16))
         return np.stack(out)
 
+    def leaf_features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray, at: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Buckets of the class and its history for the tokens ``at``; the first is the class alone."""
+        h, before = self._past(names, tokens, ends, 2)
+        out = [classes.astype(np.uint16)]
+        for k, back in enumerate(before):
+            key = mix(h[back[at]] * _STEP + (classes * 4 + k).astype(np.uint64))
+            out.append((self.spec.classes + (key >> np.uint64(32)) % np.uint64((1 << self.spec.bits) - self.spec.classes)).astype(np.uint16))
+        return np.stack(out)
+
+
+def _overlay(out: np.ndarray, full: np.ndarray, names: pa.Array, table: dict[bytes, int]) -> np.ndarray:
+    """``out`` with the table's number for every word that stands in it."""
+    if table:
+        data, offsets = _bytes_of(pa.array(list(table), pa.binary()))
+        known = np.sort(span_hashes(data, offsets[:-1], offsets[1:]))
+        at = np.minimum(np.searchsorted(known, full), len(known) - 1)
+        for i in np.flatnonzero(known[at] == full):
+            out[i] = table.get(names[int(i)].as_py(), out[i])
+    return out
+
 
 def _bytes_of(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     a = names.cast(pa.large_binary())
@@ -170,31 +207,64 @@ def _bytes_of(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def class_logits(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    z = weights[buckets[0]] + bias
+    z = np.take(weights, buckets[0], axis=0, mode="clip")
+    one = np.empty_like(z)
     for b in buckets[1:]:
-        z += weights[b]
+        z += np.take(weights, b, axis=0, out=one, mode="clip")
+    z += bias
     z -= z.max(1, keepdims=True)
     return z
 
 
+def group_sums(values: np.ndarray, by: np.ndarray, first: np.ndarray, few: int = 8) -> np.ndarray:
+    """Sums of the rows ``values[by]`` from each ``first`` to the next: small
+    groups a row at a time for all of them, the others by a product."""
+    count = np.diff(first, append=len(by))
+    out = values[by[first]]
+    live = np.flatnonzero((count > 1) & (count <= few))
+    k = 1
+    while len(live):
+        out[live] += values[by[first[live] + k]]
+        k += 1
+        live = live[count[live] > k]
+    ones = np.ones(count.max(initial=0), values.dtype)
+    for i in np.flatnonzero(count > few):
+        out[i] = ones[:count[i]] @ values[by[first[i]:first[i] + count[i]]]
+    return out
+
+
 def sgd(weights: np.ndarray, bias: np.ndarray, power: np.ndarray, buckets: np.ndarray, target: np.ndarray, spec: MaxEnt,
         rng: np.random.Generator) -> None:
     """One pass of adaptive gradient steps over the tokens, in place."""
     steps = -(-len(target) // spec.batch)
+    ones = np.ones(weights.shape[1], np.float32)
     for at in rng.permutation(steps):
         b, y = buckets[:, at::steps], target[at::steps]         # spread over the chunk
-        p = np.exp(class_logits(weights, bias, b))
-        p /= p.sum(1, keepdims=True)
+        p = class_logits(weights, bias, b)
+        np.exp(p, out=p)
+        p /= (p @ ones)[:, None]
         p[np.arange(len(y)), y] -= 1
         bias -= np.float32(spec.rate / len(y)) * p.sum(0)
         for row in b:
             by = np.argsort(row, kind="stable")
             key = row[by]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            g = np.add.reduceat(p[by], first, axis=0)
+            g = group_sums(p, by, first)
             u = key[first]
-            power[u] += (g * g).sum(1)
-            weights[u] -= np.float32(spec.rate) * g / np.sqrt(power[u] + 1)[:, None]
+            power[u] += np.einsum("ij,ij->i", g, g)
+            g *= (np.float32(spec.rate) / np.sqrt(power[u] + 1))[:, None]
+            weights[u] -= g
+
+
+def log_chance(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray, target: np.ndarray, batch: int) -> np.ndarray:
+    """Natural logarithm of the softmax at every target."""
+    out, ones = np.empty(len(target)), np.ones(weights.shape[1], np.float32)
+    for at in range(0, len(target), batch):
+        z = class_logits(weights, bias, buckets[:, at:at + batch])
+        mine = z[np.arange(len(z)), target[at:at + batch]]
+        np.exp(z, out=z)
+        out[at:at + len(z)] = mine - np.log(z @ ones)
+    return out
 
 
 def _one(batch: pa.RecordBatch, i: int):
@@ -215,18 +285,34 @@ class Model:
         self.vocabulary = Vocabulary(spec, [bytes(r.word) for r in head])
         vocabulary = self.vocabulary
 
+        first = 1 + spec.head
+
         def classed(batches):
             for b in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(vocabulary.classes(b.column(0))), b.column(1)], names=["k", "c"])
-
-        rows = counts.mapInArrow(classed, "k long, c long").groupBy("k").agg(F.sum("c"), F.count("*")).collect()   # one a class
-        self.tokens_of, self.types_of = np.zeros(spec.classes), np.zeros(spec.classes)
-        for k, c, v in rows:
-            self.tokens_of[k], self.types_of[k] = c, v
+                k = vocabulary.classes(b.column(0))
+                leaf = np.where(k < first, 0, vocabulary.leaves(b.column(0)))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(k), pa.array(leaf)], names=["word", "c", "k", "leaf"])
+
+        def by_class() -> DataFrame:
+            return counts.mapInArrow(classed, "word binary, c long, k long, leaf long")
+
+        top = Window.partitionBy("k").orderBy(F.col("c").desc(), "word")
+        own = (by_class().filter(F.col("k") >= first).withColumn("at", F.row_number().over(top)).filter(F.col("at") <= spec.own)
+               .select("word", "at").collect())                          # endings * own words
+        vocabulary.own = {bytes(r.word): r["at"] - 1 for r in own}
+        rows = by_class().groupBy("k", "leaf").agg(F.sum("c"), F.count("*")).collect()     # at most classes * leaves
+        self.tokens_of, self.types_of = np.zeros((2, spec.classes, spec.leaves))
+        for k, leaf, c, v in rows:
+            self.tokens_of[k, leaf], self.types_of[k, leaf] = c, v
         self.n, self.v = int(self.tokens_of.sum()), int(self.types_of.sum())
         self.spec = vocabulary.spec = spec = spec.grown(self.n)
-        self.weights = np.zeros((1 << spec.bits, spec.classes), np.float32)
-        self.bias = np.log((self.tokens_of + 1) / (self.n + spec.classes)).astype(np.float32)
+        size, whole = 1 << spec.bits, self.tokens_of.sum(1)
+        # (weights, bias) of the classes, then of the leaves: a class's first bucket is its bias
+        self.weights = [np.zeros((size, spec.classes), np.float32), np.log((whole + 1) / (self.n + spec.classes)).astype(np.float32),
+                        np.zeros((size, spec.leaves), np.float32), np.zeros(spec.leaves, np.float32)]
+        start = np.log((self.tokens_of + 1) / (whole[:, None] + spec.leaves))
+        start[:, :spec.own][self.types_of[:, :spec.own] == 0] = -30           # no word can stand there
+        self.weights[2][:spec.classes] = start
 
     def train(self) -> None:
         for r in range(self.spec.rounds):
@@ -234,49 +320,43 @@ class Model:
 
     def _round(self, r: int) -> None:
         spec, vocabulary, parts = self.spec, self.vocabulary, 16
-        now = self.sc.broadcast((self.weights, self.bias))
+        now = self.sc.broadcast(self.weights)
 
         def learn(batches):
-            weights, bias = (x.copy() for x in now.value)
-            power, n = np.zeros(len(weights), np.float32), 0
+            weights, bias, inner, inner_bias = state = [x.copy() for x in now.value]
+            power, inner_power, n = np.zeros(len(weights), np.float32), np.zeros(len(inner), np.float32), 0
             for b in batches:
                 for i in range(b.num_rows):
                     get, names, ends, tokens = _one(b, i)
                     use = np.repeat(~get["held"][i].values.to_numpy(zero_copy_only=False).astype(bool), np.diff(ends, prepend=0))
                     if use.any():
-                        y = vocabulary.classes(names)[tokens][use]
+                        k = vocabulary.classes(names)[tokens]
                         x = vocabulary.features(names, tokens, ends)[:, use]
-                        sgd(weights, bias, power, x, y, spec, np.random.default_rng(get["chunk"][i].as_py() % (1 << 32)))
-                        n += len(y)
+                        rng = np.random.default_rng(get["chunk"][i].as_py() % (1 << 32))
+                        sgd(weights, bias, power, x, k[use], spec, rng)
+                        n += x.shape[1]
+                        at = np.flatnonzero(use & (k > spec.head))
+                        x = vocabulary.leaf_features(names, tokens, ends, at, k[at])
+                        sgd(inner, inner_bias, inner_power, x, vocabulary.leaves(names)[tokens[at]], spec, rng)
             if n:
-                change = np.vstack([weights - now.value[0], bias - now.value[1]])
+                change = np.concatenate([(x - y).ravel() for x, y in zip(state, now.value)])
                 cuts = np.array_split(change, parts)
                 yield pa.RecordBatch.from_arrays([pa.array(range(parts)), pa.array([n] * parts), pa.array([c.tobytes() for c in cuts])],
-                                                 names=["part", "n", "change"])
+                                                 names=["part", "n", "value"])
 
-        def add(batches):
-            total: dict[int, list] = {}
-            for b in batches:
-                for part, n, change in zip(*(c.to_pylist() for c in b.columns)):
-                    have = total.setdefault(part, [0, 0])
-                    have[0], have[1] = have[0] + n, have[1] + n * np.frombuffer(change, np.float32).astype(float)
-            if total:
-                yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([n for n, _ in total.values()]),
-                                                  pa.array([(c / n).astype(np.float32).tobytes() for n, c in total.values()])], names=["part", "n", "change"])
-
-        kind = "part long, n long, change binary"
         mine = self.table.filter(F.pmod("chunk", F.lit(spec.rounds)) == r).select("chunk", "held", "ends", "words", "tokens")
-        # partial sums meet in parts: a task adds a stream of blocks of fixed size
-        sums = mine.mapInArrow(learn, kind).repartition(parts, "part").mapInArrow(add, kind).orderBy("part").collect()
+        sums = add_blocks(mine.mapInArrow(learn, "part long, n long, value binary"), mine.rdd.getNumPartitions(), parts, np.float32, mean=True)
         if sums:
-            mean = np.vstack([np.frombuffer(s.change, np.float32).reshape(-1, spec.classes) for s in sums])
-            self.weights, self.bias = self.weights + mean[:-1], self.bias + mean[-1]
+            mean = np.concatenate([np.frombuffer(s.value) for s in sums]).astype(np.float32)
+            cuts = np.split(mean, np.cumsum([x.size for x in self.weights])[:-1])
+            self.weights = [x + c.reshape(x.shape) for x, c in zip(self.weights, cuts)]
 
     def score(self) -> DataFrame:
         spec, vocabulary = self.spec, self.vocabulary
         inside = np.log10(self.tokens_of + self.types_of + 1)
+        inside[:, :spec.own] = 0
         inside[:1 + spec.head] = 0
-        state = self.sc.broadcast((self.weights, self.bias, inside))
+        state = self.sc.broadcast((self.weights, inside))
         whole = float(np.log10(self.n + self.v + 1))
         known = (self.table.select(F.col("chunk").alias("of"), F.posexplode("words").alias("i", "word"))
                  .join(self.counts, "word").select("of", "i", "c"))
@@ -284,7 +364,7 @@ class Model:
                           ("base_score", pa.float64()), ("score", pa.float64())])
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            weights, bias, inside = state.value
+            (weights, bias, inner, inner_bias), inside = state.value
             out = []
             for b in left.combine_chunks().to_batches():
                 for i in range(b.num_rows):
@@ -292,15 +372,14 @@ class Model:
                     c = np.zeros(len(names), np.int64)
                     c[right["i"].to_numpy()] = right["c"].to_numpy()
                     share = np.log10(c + 1.0)
-                    k = vocabulary.classes(names)
-                    one = k <= spec.head                     # a head word is all of its class
-                    within = np.where(one, 0, share) - inside[k]
-                    buckets = vocabulary.features(names, tokens, ends)
-                    kt, p = k[tokens], np.empty(len(tokens))
-                    for at in range(0, len(tokens), spec.batch):
-                        z = class_logits(weights, bias, buckets[:, at:at + spec.batch])
-                        mine = z[np.arange(len(z)), kt[at:at + spec.batch]]
-                        p[at:at + len(z)] = mine - np.log(np.exp(z).sum(1))
+                    k, leaf = vocabulary.classes(names), vocabulary.leaves(names)
+                    leaf[k <= spec.head] = 0
+                    one = (k <= spec.head) | (leaf < spec.own)          # the only word of its class or leaf
+                    within = np.where(one, 0, share) - inside[k, leaf]
+                    kt = k[tokens]
+                    p = log_chance(weights, bias, vocabulary.features(names, tokens, ends), kt, spec.batch)
+                    at = np.flatnonzero(kt > spec.head)
+                    p[at] += log_chance(inner, inner_bias, vocabulary.leaf_features(names, tokens, ends, at, kt[at]), leaf[tokens[at]], spec.batch)
                     begin = np.concatenate([[0], ends[:-1]])
                     n = ends - begin
                     out.append(pa.table([

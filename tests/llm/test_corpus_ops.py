@@ -10,10 +10,12 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from casemart.llm import decontaminate, lm_score, near_dedup, pii, quality, topk
-from casemart.llm.common import fold, ship_package
+from casemart.llm.common import add_blocks, fold, ship_package
 
 SMALL = "/root/testdata/sf0.001"
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -203,6 +205,56 @@ def test_lm_model_size_follows_the_tokens():
     assert spec.classes == 64 and len(one) == 4 and (one != two).tolist() == [False, False, True, False]
 
 
+def test_lm_history_tells_words_of_an_ending_apart(spark):
+    """After 'red' comes one word, after 'blue' another; both have one ending and frequency."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(["red xxing", "blue yying"]) for _ in range(20))) for i in range(1000)]
+    held = [i for i in range(20_000, 20_050) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    df = spark.createDataFrame([*rows, (held[0], "red xxing"), (held[1], "red yying")], "doc_id long, text string")
+    spec = lm_score.MaxEnt(head=0, endings=2, bits=8, own=3, tails=2, batch=256, chunk_bytes=20_000)
+    score = {r.doc_id: r.score for r in lm_score.lm_scores(df.coalesce(1), spec).collect()}
+    assert score[held[0]] > score[held[1]] + 0.7
+
+
+def test_lm_leaves_add_up():
+    """All leaf probabilities and the shares of the words in them add up to one."""
+    spec = lm_score.MaxEnt(head=1, endings=1, bits=6, own=2, tails=2)
+    vocabulary = lm_score.Vocabulary(spec, [b"the"])
+    vocabulary.own = {b"aa": 0, b"ba": 1}
+    names = pa.array([b"aa", b"ba", b"ca", b"da", b"the", lm_score.END], pa.binary())
+    assert vocabulary.classes(names).tolist() == [2, 2, 2, 2, 1, 0]
+    leaf = vocabulary.leaves(names)
+    assert leaf[:2].tolist() == [0, 1] and set(leaf[2:4].tolist()) <= {2, 3}
+    rng = np.random.default_rng(0)
+    w, b = rng.normal(size=(64, spec.leaves)).astype(np.float32), np.zeros(spec.leaves, np.float32)
+    x = vocabulary.leaf_features(names, np.array([0, 2, 5]), np.array([3]), np.array([1]), np.array([2]))
+    assert x.shape == (3, 1) and x[0, 0] == 2 and (x[1:] >= spec.classes).all() and (x < 64).all()
+    total = sum(math.exp(lm_score.log_chance(w, b, x, np.array([t]), 8)[0]) for t in range(spec.leaves))
+    assert math.isclose(total, 1, rel_tol=1e-5)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 9), min_size=1, max_size=80))
+def test_lm_group_sums(keys):
+    row = np.array(keys, np.uint16)
+    values = np.arange(3 * len(row), dtype=np.float32).reshape(-1, 3)
+    by = np.argsort(row, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], row[by][1:] != row[by][:-1]]))
+    assert (lm_score.group_sums(values, by, first) == np.add.reduceat(values[by], first, axis=0)).all()
+
+
+@pytest.mark.parametrize("mean", [False, True])
+def test_blocks_add_up_in_a_tree(spark, mean):
+    ship_package(spark)
+    rows = [(p, t + 1, np.full(4, 10 * p + t, np.float32).tobytes()) for t in range(23) for p in range(3)]
+    df = spark.createDataFrame(rows, "part long, n long, value binary").repartition(23, "n")
+    got = add_blocks(df, 23, 3, np.float32, mean, fan_in=3)
+    assert [(r.part, r.n) for r in got] == [(p, 276) for p in range(3)]
+    for r in got:
+        x = [(t + 1 if mean else 1) * (10 * r.part + t) for t in range(23)]
+        assert np.allclose(np.frombuffer(r.value), sum(x) / (276 if mean else 1))
+
+
 def test_lm_of_nothing(spark):
     assert lm_score.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
