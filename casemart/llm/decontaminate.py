@@ -55,7 +55,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casemart.llm.common import query, read, span_hashes, spans, text_chunks, utf8, words
+from casemart.llm.common import add_blocks, query, read, span_hashes, spans, text_chunks, utf8, words
 from casemart.llm.shingles import _sequence_hash
 from casemart.session import stage_table
 
@@ -278,18 +278,8 @@ def _summed(coded: DataFrame, shape: tuple[int, ...], work) -> tuple[np.ndarray,
             yield pa.RecordBatch.from_arrays([pa.array(range(parts)), pa.array([n] * parts), pa.array([c.tobytes() for c in cuts])],
                                              names=["part", "n", "value"])
 
-    def add(batches):
-        have: dict[int, list] = {}
-        for b in batches:
-            for part, n, value in zip(*(c.to_pylist() for c in b.columns)):
-                x = have.setdefault(part, [0, 0])
-                x[0], x[1] = x[0] + n, x[1] + np.frombuffer(value, kind_of).astype(float)
-        if have:
-            yield pa.RecordBatch.from_arrays([pa.array(list(have)), pa.array([n for n, _ in have.values()]),
-                                              pa.array([c.tobytes() for _, c in have.values()])], names=["part", "n", "value"])
-
-    kind = "part long, n long, value binary"
-    rows = coded.mapInArrow(run, kind).repartition(parts, "part").mapInArrow(add, kind).orderBy("part").collect()
+    blocks = coded.mapInArrow(run, "part long, n long, value binary")
+    rows = add_blocks(blocks, coded.rdd.getNumPartitions(), parts, kind_of)
     if not rows:
         return np.zeros(shape), 0
     return np.concatenate([np.frombuffer(r.value).reshape(-1, *shape[1:]) for r in rows]), rows[0].n
