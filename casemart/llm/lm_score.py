@@ -212,7 +212,9 @@ def class_logits(weights: np.ndarray, bias: np.ndarray, buckets: np.ndarray) ->
     for b in buckets[1:]:
         z += np.take(weights, b, axis=0, out=one, mode="clip")
     z += bias
-    z -= z.max(1, keepdims=True)
+    high = z.max(initial=0)
+    # one shift for all rows keeps every exponential above zero unless the logits lie far apart
+    z -= high if high - z.min(initial=0) < 80 else z.max(1, keepdims=True)
     return z
 
 
@@ -244,7 +246,7 @@ def sgd(weights: np.ndarray, bias: np.ndarray, power: np.ndarray, buckets: np.nd
         np.exp(p, out=p)
         p /= (p @ ones)[:, None]
         p[np.arange(len(y)), y] -= 1
-        bias -= np.float32(spec.rate / len(y)) * p.sum(0)
+        bias -= np.float32(spec.rate / len(y)) * (np.ones(len(y), np.float32) @ p)
         for row in b:
             by = np.argsort(row, kind="stable")
             key = row[by]
@@ -288,22 +290,39 @@ class Model:
         first = 1 + spec.head
 
         def classed(batches):
+            """Of each task the sums by class and tail leaf, and the most frequent words of every ending."""
+            sums = np.zeros((2, spec.classes * spec.tails), np.int64)
+            best = pa.table([pa.array([], t) for t in (pa.binary(), pa.int64(), pa.int64(), pa.int64())], names=["word", "c", "k", "leaf"])
             for b in batches:
-                k = vocabulary.classes(b.column(0))
-                leaf = np.where(k < first, 0, vocabulary.leaves(b.column(0)))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(k), pa.array(leaf)], names=["word", "c", "k", "leaf"])
-
-        def by_class() -> DataFrame:
-            return counts.mapInArrow(classed, "word binary, c long, k long, leaf long")
-
+                c, k = b.column(1).to_numpy(), vocabulary.classes(b.column(0))
+                leaf = np.where(k < first, 0, vocabulary.leaves(b.column(0)) - spec.own)
+                for total, x in zip(sums, (c, np.ones_like(c))):
+                    np.add.at(total, k * spec.tails + leaf, x)
+                some = np.flatnonzero(k >= first)
+                rows = pa.table([b.column(0).take(pa.array(some)), c[some], k[some], leaf[some]], names=best.column_names)
+                best = pa.concat_tables([best, rows]).sort_by([("k", "ascending"), ("c", "descending"), ("word", "ascending")])
+                key = best["k"].to_numpy()
+                begin = np.searchsorted(key, key)
+                best = best.filter(pa.array(np.arange(len(key)) - begin < spec.own)).combine_chunks()
+            at = np.flatnonzero(sums[1])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), *map(pa.array, (sums[0, at], at // spec.tails, at % spec.tails, sums[1, at]))],
+                                             names=["word", "c", "k", "leaf", "v"])
+            yield from best.append_column("v", pa.array(np.ones(len(best), np.int64))).to_batches()
+
+        found = stage_table(counts.mapInArrow(classed, "word binary, c long, k long, leaf long, v long"), "classed-words")
         top = Window.partitionBy("k").orderBy(F.col("c").desc(), "word")
-        own = (by_class().filter(F.col("k") >= first).withColumn("at", F.row_number().over(top)).filter(F.col("at") <= spec.own)
-               .select("word", "at").collect())                          # endings * own words
-        vocabulary.own = {bytes(r.word): r["at"] - 1 for r in own}
-        rows = by_class().groupBy("k", "leaf").agg(F.sum("c"), F.count("*")).collect()     # at most classes * leaves
+        own = (found.filter("word IS NOT NULL").withColumn("at", F.row_number().over(top)).filter(F.col("at") <= spec.own)
+               .select("word", "c", "k", "leaf", "at").collect())                          # endings * own words
+        rows = found.filter("word IS NULL").groupBy("k", "leaf").agg(F.sum("c"), F.sum("v")).collect()     # classes * tails
         self.tokens_of, self.types_of = np.zeros((2, spec.classes, spec.leaves))
         for k, leaf, c, v in rows:
-            self.tokens_of[k, leaf], self.types_of[k, leaf] = c, v
+            at = leaf + spec.own if k >= first else 0
+            self.tokens_of[k, at], self.types_of[k, at] = c, v
+        for r in own:               # from the tail leaf to one of its own
+            for total, x in ((self.tokens_of, r.c), (self.types_of, 1)):
+                total[r.k, spec.own + r.leaf] -= x
+                total[r.k, r["at"] - 1] = x
+        vocabulary.own = {bytes(r.word): r["at"] - 1 for r in own}
         self.n, self.v = int(self.tokens_of.sum()), int(self.types_of.sum())
         self.spec = vocabulary.spec = spec = spec.grown(self.n)
         size, whole = 1 << spec.bits, self.tokens_of.sum(1)
