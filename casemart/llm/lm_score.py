@@ -124,13 +124,13 @@ def token_table(docs: DataFrame, chunk_bytes: int) -> DataFrame:
 
 
 def _narrow(tokens: np.ndarray) -> bytes:
-    """Token numbers as a plane of low and one of high halves; the high one is mostly zeros."""
-    return tokens.astype(np.uint16).tobytes() + (tokens >> 16).astype(np.uint16).tobytes()
+    """Token numbers as four compressed planes of bytes; the high ones are mostly zeros."""
+    return pa.compress(np.ascontiguousarray(tokens.astype(np.int32).view(np.uint8).reshape(-1, 4).T), "zstd", asbytes=True)
 
 
-def _wide(planes: bytes) -> np.ndarray:
-    low, high = np.frombuffer(planes, np.uint16).reshape(2, -1).astype(np.int32)
-    return low | high << 16
+def _wide(planes: bytes, n: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(planes, 4 * n, "zstd"), np.uint8)
+    return np.ascontiguousarray(flat.reshape(4, n).T).view(np.int32).ravel()
 
 
 class Vocabulary:
@@ -155,33 +155,33 @@ class Vocabulary:
         out = (self.spec.own + (mix(full) >> np.uint64(40)) % np.uint64(self.spec.tails)).astype(np.int64)
         return _overlay(out, full, names, self.own)
 
-    def _past(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray, steps: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Word hashes, and for each step back the word there of every token."""
+    def past(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Word hashes, and for one to three steps back the word there of every token."""
         data, offsets = _bytes_of(names)
         h = np.append(span_hashes(data, offsets[:-1], offsets[1:]), np.uint64(12345))     # the last stands before a text
-        begin = np.repeat(np.concatenate([[0], ends[:-1]]), np.diff(ends, prepend=0))
-        place = np.arange(len(tokens)) - begin
+        begin = np.concatenate([[0], ends[:-1]])
         before = []
-        for k in range(1, steps + 1):
-            back = np.full(len(tokens), len(h) - 1, np.int64)
+        for k in (1, 2, 3):
+            back = np.full(len(tokens), len(h) - 1, np.int32)
             back[k:] = tokens[:-k] if len(tokens) > k else tokens[:0]
-            back[place < k] = len(h) - 1
+            for j in range(k):                      # the first k tokens of every text
+                back[np.minimum(begin + j, ends - 1)[ends - begin > j]] = len(h) - 1
             before.append(back)
         return h, before
 
-    def features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Buckets of every token's history, one row per feature."""
-        h, before = self._past(names, tokens, ends, 3)
+    def features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray, past=None, at=slice(None)) -> np.ndarray:
+        """Buckets of the history of the tokens ``at``, one row per feature."""
+        h, before = past or self.past(names, tokens, ends)
         shift = np.uint64(64 - self.spec.bits)
-        out = [(mix(h * np.uint64(2 * k + 3) + np.uint64(k)) >> shift).astype(np.uint16)[back] for k, back in enumerate(before)]
-        out.append((mix(h[before[0]] * _STEP + h[before[1]]) >> shift).astype(np.uint16))
+        out = [(mix(h * np.uint64(2 * k + 3) + np.uint64(k)) >> shift).astype(np.uint16)[back[at]] for k, back in enumerate(before)]
+        out.append((mix(h[before[0][at]] * _STEP + h[before[1][at]]) >> shift).astype(np.uint16))
         return np.stack(out)
 
-    def leaf_features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray, at: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    def leaf_features(self, names: pa.Array, tokens: np.ndarray, ends: np.ndarray, at: np.ndarray, classes: np.ndarray, past=None) -> np.ndarray:
         """Buckets of the class and its history for the tokens ``at``; the first is the class alone."""
-        h, before = self._past(names, tokens, ends, 2)
+        h, before = past or self.past(names, tokens, ends)
         out = [classes.astype(np.uint16)]
-        for k, back in enumerate(before):
+        for k, back in enumerate(before[:2]):
             key = mix(h[back[at]] * _STEP + (classes * 4 + k).astype(np.uint64))
             out.append((self.spec.classes + (key >> np.uint64(32)) % np.uint64((1 << self.spec.bits) - self.spec.classes)).astype(np.uint16))
         return np.stack(out)
@@ -273,7 +273,7 @@ def _one(batch: pa.RecordBatch, i: int):
     """The columns of one chunk row as numpy and Arrow values."""
     get = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
     ends = get["ends"][i].values.to_numpy()
-    tokens = _wide(get["tokens"][i].as_py())
+    tokens = _wide(get["tokens"][i].as_py(), int(ends[-1]))
     return get, get["words"][i].values, ends, tokens
 
 
@@ -350,12 +350,13 @@ class Model:
                     use = np.repeat(~get["held"][i].values.to_numpy(zero_copy_only=False).astype(bool), np.diff(ends, prepend=0))
                     if use.any():
                         k = vocabulary.classes(names)[tokens]
-                        x = vocabulary.features(names, tokens, ends)[:, use]
+                        past = vocabulary.past(names, tokens, ends)
+                        x = vocabulary.features(names, tokens, ends, past, use)
                         rng = np.random.default_rng(get["chunk"][i].as_py() % (1 << 32))
                         sgd(weights, bias, power, x, k[use], spec, rng)
                         n += x.shape[1]
                         at = np.flatnonzero(use & (k > spec.head))
-                        x = vocabulary.leaf_features(names, tokens, ends, at, k[at])
+                        x = vocabulary.leaf_features(names, tokens, ends, at, k[at], past)
                         sgd(inner, inner_bias, inner_power, x, vocabulary.leaves(names)[tokens[at]], spec, rng)
             if n:
                 change = np.concatenate([(x - y).ravel() for x, y in zip(state, now.value)])
@@ -396,9 +397,10 @@ class Model:
                     one = (k <= spec.head) | (leaf < spec.own)          # the only word of its class or leaf
                     within = np.where(one, 0, share) - inside[k, leaf]
                     kt = k[tokens]
-                    p = log_chance(weights, bias, vocabulary.features(names, tokens, ends), kt, spec.batch)
+                    past = vocabulary.past(names, tokens, ends)
+                    p = log_chance(weights, bias, vocabulary.features(names, tokens, ends, past), kt, spec.batch)
                     at = np.flatnonzero(kt > spec.head)
-                    p[at] += log_chance(inner, inner_bias, vocabulary.leaf_features(names, tokens, ends, at, kt[at]), leaf[tokens[at]], spec.batch)
+                    p[at] += log_chance(inner, inner_bias, vocabulary.leaf_features(names, tokens, ends, at, kt[at], past), leaf[tokens[at]], spec.batch)
                     begin = np.concatenate([[0], ends[:-1]])
                     n = ends - begin
                     out.append(pa.table([
