@@ -13,7 +13,7 @@ over the checkpoint: no window, no single-task stage, no second shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import accumulate
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from casemart.functions.calendar import month_label, year_month_id, year_month_label
 from casemart.functions.text import normalize_key
-from casemart.session import checkpoint_dir, freeze
+from casemart.session import checkpoint_dir, freeze, stage_table
 
 _PID = "_cm_pid"
 
@@ -80,6 +80,29 @@ def build_dimension(sources: Sequence[DataFrame], key_col: str, id_col: str,
     return dense_ids(reduce(DataFrame.unionByName, frames), key_col, id_col, num_buckets)
 
 
+def build_dimensions(sources: Sequence[tuple], ids: Mapping[str, str], num_buckets: int | None = None) -> dict[str, DataFrame]:
+    """Several category dimensions ``(id, key)`` in one pass over their sources.
+
+    Each source ``(frame, key columns, normalize)`` is scanned once: its distinct
+    combinations of raw keys (partial aggregation before the shuffle), of which
+    the normalized keys go on (``normalize`` None: as they are), tagged with
+    their dimension.  One range sort
+    over (dimension, key) numbers all of them; an id is the position less the
+    positions of the dimensions before it.  ``ids`` names the id column of every
+    key column.  NULL and empty keys are dropped; a dimension without keys is empty.
+    """
+    def tagged(frame: DataFrame, cols: Sequence[str], normalize) -> DataFrame:
+        keys = [F.struct(F.lit(c).alias("dim"), (normalize(F.col(c)) if normalize else F.col(c)).alias("key")) for c in cols]
+        return frame.select(*cols).distinct().select(F.inline(F.array(*keys)))
+
+    keys = (reduce(DataFrame.unionByName, [tagged(*s) for s in sources])
+            .filter(F.col("key").isNotNull() & (F.col("key") != "")).distinct())
+    table = stage_table(ordinal(keys, ["dim", "key"], "position", num_buckets), "dimensions", partition_by=("dim",))
+    first = {r["dim"]: r["first"] for r in table.groupBy("dim").agg(F.min("position").alias("first")).collect()}   # one row a dimension
+    return {c: table.filter(F.col("dim") == c).select((F.col("position") - F.lit(first.get(c, 1) - 1)).cast("int").alias(i), F.col("key").alias(c))
+            for c, i in ids.items()}
+
+
 def calendar_dimension(series: Sequence[DataFrame] = (), dated: Sequence[tuple[DataFrame, str]] = (),
                        year_col: str = "ano", label_col: str = "mes", ordinal_col: str = "ordem_mes",
                        id_col: str = "id_tempo", year_month_col: str = "ano_mes") -> DataFrame:

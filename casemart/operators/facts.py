@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -49,6 +49,55 @@ def clean_undated_linelist(df: DataFrame, category: str, reference_year: int, id
             .filter(F.col("bairro").isNotNull() & (F.col("bairro") != "")))
 
 
+@dataclass(frozen=True)
+class ListLayout:
+    """Where one kind of case list keeps its fields; what a list lacks is None."""
+
+    category: str
+    age: str
+    sex: str
+    place: str
+    date: str | None = None
+    unit: str | None = None
+    exam: str | None = None
+    reference_year: int | None = None
+    date_format: str = "dd/MM/yyyy"
+
+
+def clean_linelists(df: DataFrame, list_col: str, layouts: Mapping[str, ListLayout], id_col: str = "_c0") -> DataFrame:
+    """Positional case lists of several layouts in one table -> ``(list_col,
+    data, idade, sexo, bairro, unidade_notificacao, exame, ano_referencia,
+    doenca)`` in one pass, by the rules of the cleaners above.
+
+    ``list_col`` names each row's layout.  What a layout lacks is a typed NULL;
+    rows of a list without a layout and rows without a place are dropped.
+    """
+    def pick(field: str) -> Column:
+        """The text cell that holds the field in the row's own layout."""
+        out = F.lit(None).cast("string")
+        for name, layout in layouts.items():
+            if getattr(layout, field) is not None:
+                out = F.when(F.col(list_col) == name, F.col(getattr(layout, field)).cast("string")).otherwise(out)
+        return out
+
+    def fixed(field: str, kind: str) -> Column:
+        out = F.lit(None).cast(kind)
+        for name, layout in layouts.items():
+            out = F.when(F.col(list_col) == name, F.lit(getattr(layout, field)).cast(kind)).otherwise(out)
+        return out
+
+    date = F.lit(None).cast("date")
+    for name, layout in layouts.items():
+        if layout.date is not None:
+            date = F.when(F.col(list_col) == name, parse_date(F.col(layout.date), layout.date_format)).otherwise(date)
+    return (digit_rows(df.filter(F.col(list_col).isin(list(layouts))), id_col)
+            .select(list_col, date.alias("data"), clean_int(pick("age")).alias("idade"),
+                    normalize_text(pick("sex")).alias("sexo"), normalize_text(pick("place")).alias("bairro"),
+                    F.trim(pick("unit")).alias("unidade_notificacao"), normalize_text(pick("exam")).alias("exame"),
+                    fixed("reference_year", "int").alias("ano_referencia"), fixed("category", "string").alias("doenca"))
+            .filter(F.col("bairro").isNotNull() & (F.col("bairro") != "")))
+
+
 # ---------------------------------------------------------- key resolution
 
 @dataclass(frozen=True)

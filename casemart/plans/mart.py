@@ -22,6 +22,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casemart.functions.text import normalize_key
 from casemart.operators import curate as C
 from casemart.operators import dims as D
 from casemart.operators import facts as FX
@@ -48,6 +49,7 @@ class CaseMart:
     stored_series: dict[str, DataFrame] = field(default_factory=dict)  # fonte -> its stored fact
     input_rows: dict[str, int] = field(default_factory=dict)           # fonte -> rows, where counted as it was written
     written: dict[str, dict[str, int]] = field(default_factory=dict)   # final fact -> counts taken as it was written
+    line_lists: DataFrame | None = None      # the stored table of which dated and undated are folders
 
     # ------------------------------------------------------------ dimensions
     def _series_prepared(self, fonte: str) -> DataFrame:
@@ -59,20 +61,26 @@ class CaseMart:
         return D.calendar_dimension(series=[s.select("ano", "mes", "ordem_mes") for s in self.series.values()],
                                     dated=[(self.dated, "data")])
 
+    @cached_property
+    def categories(self) -> dict[str, DataFrame]:
+        """Category, place and sex dimension, from one scan of every source."""
+        people = ["doenca", "bairro", "sexo"]
+        sources = [(self._series_prepared(f), ["doenca"], None) for f in self.series]
+        lists = [self.dated, self.undated] if self.line_lists is None else [self.line_lists]
+        ids = {"doenca": "id_doenca", "bairro": "id_bairro", "sexo": "id_sexo"}
+        return D.build_dimensions(sources + [(df, people, normalize_key) for df in lists], ids)
+
     @cached_property
     def dim_doenca(self) -> DataFrame:
-        frames = [self._series_prepared(f).select("doenca") for f in self.series]
-        frames += [FX.with_normalized(self.dated, ["doenca"]).select("doenca"),
-                   FX.with_normalized(self.undated, ["doenca"]).select("doenca")]
-        return freeze(D.build_dimension(frames, "doenca", "id_doenca", normalize=None))
+        return self.categories["doenca"]
 
     @cached_property
     def dim_bairro(self) -> DataFrame:
-        return freeze(D.build_dimension([self.dated.select("bairro"), self.undated.select("bairro")], "bairro", "id_bairro"))
+        return self.categories["bairro"]
 
     @cached_property
     def dim_sexo(self) -> DataFrame:
-        return freeze(D.build_dimension([self.dated.select("sexo"), self.undated.select("sexo")], "sexo", "id_sexo"))
+        return self.categories["sexo"]
 
     # ----------------------------------------------------------------- facts
     def _store(self, name: str, fact: DataFrame, keys: tuple[str, ...]) -> DataFrame:

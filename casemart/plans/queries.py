@@ -205,14 +205,15 @@ def _build_mart(spark: SparkSession, sf_dir: str):
     for f, df in series.items():
         series[f], seen = stage_counted(df, f"series-{f}")
         rows[f] = seen["rows"]
-    # the cleaned line lists feed four dimensions and two facts: store them
-    # once as intermediate tables (columnar, so each dimension scan is pruned)
-    dated, seen = stage_counted(FX.clean_dated_linelist(w.raw_dated_cases(), DATED_SOURCE), "linelist_dated")
-    rows[f"{DATED_SOURCE}_espacial"] = seen["rows"]
-    undated, seen = stage_counted(FX.clean_undated_linelist(w.raw_undated_cases(), UNDATED_SOURCE,
-                                                            UNDATED_REFERENCE_YEAR), "linelist_undated")
-    rows[f"{UNDATED_SOURCE}_espacial"] = seen["rows"]
-    mart = CaseMart(series, dated, undated, dated_source=f"{DATED_SOURCE}_espacial",
+    # the cleaned line lists feed four dimensions and two facts: one join and
+    # one pass clean both, and they are stored in a folder each (columnar, so
+    # each dimension scan is pruned)
+    lists, seen = stage_counted(FX.clean_linelists(w.raw_cases(), "lista", w.list_layouts()), "linelists",
+                                by="lista", values=(DATED_SOURCE, UNDATED_SOURCE))
+    rows.update({f"{v}_espacial": seen[f"rows_{v}"] for v in (DATED_SOURCE, UNDATED_SOURCE)})
+    dated = lists.filter(F.col("lista") == DATED_SOURCE).drop("lista", "ano_referencia")
+    undated = lists.filter(F.col("lista") == UNDATED_SOURCE).select("idade", "sexo", "bairro", "ano_referencia", "doenca")
+    mart = CaseMart(series, dated, undated, line_lists=lists, dated_source=f"{DATED_SOURCE}_espacial",
                     undated_source=f"{UNDATED_SOURCE}_espacial", undated_reference_year=UNDATED_REFERENCE_YEAR, input_rows=rows)
     return w, mart
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from casemart.functions.calendar import MONTH_LABELS
 from casemart.functions.text import match_key
+from casemart.operators.facts import ListLayout
 
 # Labels of the derived sources (parameters of the plans, not of the library).
 DATED_SOURCE = "entregas"        # lineitem rows with line status F
@@ -141,11 +142,15 @@ class World:
                 for i, y in enumerate(self.order_years)}
 
     # stacked sheet: one block per order status, 20 rows apart
-    STACK = [("F", 5), ("O", 25), ("P", 45)]
+    @cached_property
+    def stack(self) -> list[tuple[str, int]]:
+        """``(status, first line)``: every order status there is, in order, 20 lines apart."""
+        rows = self.monthly_orders.select("s").distinct().filter("s IS NOT NULL").orderBy("s").collect()
+        return [(r.s, 5 + 20 * i) for i, r in enumerate(rows)]
 
     def stacked_sheet(self) -> DataFrame:
         frames = []
-        for status, lo in self.STACK:
+        for status, lo in self.stack:
             s = self.monthly_sheet(status)
             frames.append(s.withColumn("row_id", F.col("_line") + F.lit(lo - 1)))
         out = frames[0]
@@ -159,7 +164,7 @@ class World:
         no urgent column for its first two years (measure defaults to 0)."""
         years = self.order_years
         out = []
-        for status, lo in self.STACK:
+        for status, lo in self.stack:
             mmap = {}
             for i, y in enumerate(years):
                 deaths = None if (status == "P" and i < 2) else f"_c{2 * i + 2}"
@@ -172,7 +177,7 @@ class World:
     def cases_base(self) -> DataFrame:
         li = self.t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                        "l_returnflag", "l_linestatus", "l_shipdate")
-        p = self.t("part").select("p_partkey", "p_name", "p_brand")
+        p = self.t("part").select("p_partkey", place_variant(F.col("p_partkey"), F.col("p_name"), F.col("p_brand")).alias("place"))
         # a case without its part has no place: the line-list cleaners drop it by that rule
         return li.join(p, li.l_partkey == p.p_partkey, "left")
 
@@ -185,26 +190,42 @@ class World:
     def _sex(flag: Column) -> Column:
         return F.when(flag == "R", F.lit("Feminino")).when(flag == "A", F.lit("masculino  ")).otherwise(F.lit(""))
 
+    def _dated_cells(self) -> list[Column]:
+        flag = F.col("l_returnflag")
+        return [self._case_id(F.col("l_orderkey"), F.col("l_linenumber")),
+                F.when(F.col("l_linenumber") == 6, F.date_format("l_shipdate", "yyyy-MM-dd"))
+                .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy")),
+                F.col("l_quantity").cast("int").cast("string"), self._sex(flag), F.col("place"),
+                F.concat(F.lit(" UBS "), (F.col("l_suppkey") % 10).cast("string"), F.lit(" ")),
+                F.when(flag == "R", F.lit("Positivo")).otherwise(F.lit("não reagente"))]
+
+    def _undated_cells(self) -> list[Column]:
+        return [self._case_id(F.col("l_orderkey"), F.col("l_linenumber")), F.col("l_quantity").cast("int").cast("string"),
+                self._sex(F.col("l_returnflag")), F.col("place")]
+
+    def _cases(self, status: str, cells: list[Column]) -> DataFrame:
+        return self.cases_base.filter(F.col("l_linestatus") == status).select(*[c.alias(f"_c{i}") for i, c in enumerate(cells)])
+
     def raw_dated_cases(self) -> DataFrame:
-        b = self.cases_base.filter(F.col("l_linestatus") == "F")
-        date_text = F.when(F.col("l_linenumber") == 6, F.date_format("l_shipdate", "yyyy-MM-dd"))\
-            .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy"))
-        return b.select(
-            self._case_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("_c0"),
-            date_text.alias("_c1"),
-            F.col("l_quantity").cast("int").cast("string").alias("_c2"),
-            self._sex(F.col("l_returnflag")).alias("_c3"),
-            place_variant(F.col("p_partkey"), F.col("p_name"), F.col("p_brand")).alias("_c4"),
-            F.concat(F.lit(" UBS "), (F.col("l_suppkey") % 10).cast("string"), F.lit(" ")).alias("_c5"),
-            F.when(F.col("l_returnflag") == "R", F.lit("Positivo")).otherwise(F.lit("não reagente")).alias("_c6"))
+        return self._cases("F", self._dated_cells())
 
     def raw_undated_cases(self) -> DataFrame:
-        b = self.cases_base.filter(F.col("l_linestatus") == "O")
-        return b.select(
-            self._case_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("_c0"),
-            F.col("l_quantity").cast("int").cast("string").alias("_c1"),
-            self._sex(F.col("l_returnflag")).alias("_c2"),
-            place_variant(F.col("p_partkey"), F.col("p_name"), F.col("p_brand")).alias("_c3"))
+        return self._cases("O", self._undated_cells())
+
+    def raw_cases(self) -> DataFrame:
+        """Both case lists in one table, each row in the columns of its own list:
+        one join for all of them; ``lista`` names the list."""
+        dated = F.col("l_linestatus") == "F"
+        cells, others = self._dated_cells(), self._undated_cells()
+        others += [F.lit(None).cast("string")] * (len(cells) - len(others))
+        return (self.cases_base.filter(F.col("l_linestatus").isin("F", "O"))
+                .select(F.when(dated, DATED_SOURCE).otherwise(UNDATED_SOURCE).alias("lista"),
+                        *[F.when(dated, x).otherwise(y).alias(f"_c{i}") for i, (x, y) in enumerate(zip(cells, others))]))
+
+    @staticmethod
+    def list_layouts() -> dict[str, ListLayout]:
+        return {DATED_SOURCE: ListLayout(DATED_SOURCE, date="_c1", age="_c2", sex="_c3", place="_c4", unit="_c5", exam="_c6"),
+                UNDATED_SOURCE: ListLayout(UNDATED_SOURCE, age="_c1", sex="_c2", place="_c3", reference_year=UNDATED_REFERENCE_YEAR)}
 
     # -------------------------------------------------- reference tables
     def canonical_places(self) -> DataFrame:

@@ -76,16 +76,20 @@ def stage_table(df, name: str, compression: str = "snappy", partition_by: tuple[
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/stages/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path, compression=compression, partitionBy=list(partition_by) or None)
-    return spark.read.parquet(path)
+    # folders of no rows hold no file to take the columns from
+    return (spark.read.schema(df.schema) if partition_by else spark.read).parquet(path)
 
 
-def stage_counted(df, name: str, null_keys: tuple[str, ...] = ()):
+def stage_counted(df, name: str, null_keys: tuple[str, ...] = (), by: str | None = None, values: tuple[str, ...] = ()):
     """``(stored table, counts)``: ``rows`` and ``<key>_nulls`` are counted while
-    the table is written, by the tasks that write it, so no audit scans it again."""
+    the table is written, by the tasks that write it, so no audit scans it again.
+    With ``by`` the table stands in a folder for each value of that column, and
+    ``rows_<value>`` counts the rows of each of ``values``."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     seen = Observation()
-    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"{k}_nulls") for k in null_keys]]
-    table = stage_table(df.observe(seen, *counts), name)
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"{k}_nulls") for k in null_keys],
+              *[F.count_if(F.col(by) == v).alias(f"rows_{v}") for v in values]]
+    table = stage_table(df.observe(seen, *counts), name, partition_by=(by,) if by else ())
     return table, dict(seen.get)

@@ -356,3 +356,52 @@ def test_long_and_short_names_are_searched_to_the_same_floor(spark):
     _, c = _names(spark, [], names)
     got = {r.id_bairro: r for r in M.fuzzy_scores(u, c).collect()}
     assert all(abs(got[i].best_similarity - (1 - (len(n) // 4) / len(n))) < 1e-12 for i, n in enumerate(names, 1))
+
+
+def test_case_lists_of_two_layouts_in_one_pass(spark):
+    from casemart.operators.facts import ListLayout, clean_dated_linelist, clean_linelists, clean_undated_linelist
+    kind = "lista string, _c0 string, _c1 string, _c2 string, _c3 string, _c4 string, _c5 string, _c6 string"
+    rows = [("a", "1", "02/03/2024", "41", " fem ", "São João", " UBS 1 ", "positivo"),
+            ("a", "Nº", "02/03/2024", "41", "fem", "Centro", "UBS", None),          # header: the id is no number
+            ("a", "2", "2024-03-02", "x", None, "Centro", None, None),                # neither date nor age can be read
+            ("a", "3", "02/03/2024", "1", "m", "  ", "UBS", None),                    # no place
+            ("b", " 4 ", "7", "masc", "Vila Nova", "9", None, None), ("b", "5", None, None, None, None, None, None),
+            ("c", "6", "1", "f", "Centro", None, None, None), (None, "7", "1", "f", "Centro", None, None, None)]
+    df = spark.createDataFrame(rows, kind)
+    layouts = {"a": ListLayout("dengue", date="_c1", age="_c2", sex="_c3", place="_c4", unit="_c5", exam="_c6"),
+               "b": ListLayout("chik", age="_c1", sex="_c2", place="_c3", reference_year=2026)}
+    out = clean_linelists(df, "lista", layouts)
+
+    def same(name, one, cols):
+        assert sorted(map(str, out.filter(F.col("lista") == name).select(*cols).collect())) == sorted(map(str, one.select(*cols).collect()))
+
+    one = clean_dated_linelist(df.filter("lista = 'a'").drop("lista"), "dengue")
+    two = clean_undated_linelist(df.filter("lista = 'b'").drop("lista"), "chik", 2026)
+    same("a", one, one.columns)
+    same("b", two, two.columns)
+    assert out.count() == 3 and out.filter("lista = 'a' AND ano_referencia IS NOT NULL").count() == 0
+    assert dict(out.dtypes)["data"] == "date" and dict(out.dtypes)["ano_referencia"] == "int"
+
+
+def test_dimensions_in_one_pass_equal_single_ones(spark):
+    a = spark.createDataFrame([(f"Place {i % 50:02d} ", ["F", "m", "", None][i % 4], "x") for i in range(400)], "bairro string, sexo string, outro string")
+    b = spark.createDataFrame([("  new", "M", None)], a.schema)
+    raw = spark.createDataFrame([("Zz Top",)], "sexo string")          # a source taken as it is
+    got = D.build_dimensions([(a, ["bairro", "sexo"], D.normalize_key), (b, ["bairro", "sexo"], D.normalize_key), (raw, ["sexo"], None)],
+                             {"bairro": "id_bairro", "sexo": "id_sexo", "outro": "id_outro"}, num_buckets=5)
+    want = D.build_dimension([a.select("bairro"), b.select("bairro")], "bairro", "id_bairro")
+    assert [tuple(r) for r in got["bairro"].orderBy("id_bairro").collect()] == [tuple(r) for r in want.orderBy("id_bairro").collect()]
+    assert [tuple(r) for r in got["sexo"].orderBy("id_sexo").collect()] == [(1, "Zz Top"), (2, "f"), (3, "m")]
+    assert got["outro"].count() == 0 and dict(got["bairro"].dtypes) == {"id_bairro": "int", "bairro": "string"}
+    none = D.build_dimensions([(a.limit(0), ["bairro"], D.normalize_key)], {"bairro": "id_bairro"})
+    assert none["bairro"].collect() == []
+
+
+def test_rows_of_each_list_are_counted_by_the_write(spark):
+    from casemart.session import stage_counted
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "lista string, x int")
+    table, seen = stage_counted(df, "lists", ("x",), by="lista", values=("a", "b", "c"))
+    assert seen == {"rows": 3, "x_nulls": 1, "rows_a": 2, "rows_b": 1, "rows_c": 0}
+    assert table.filter("lista = 'a'").count() == 2
+    empty, seen = stage_counted(df.limit(0), "lists", by="lista", values=("a",))
+    assert empty.count() == 0 and seen == {"rows": 0, "rows_a": 0}
