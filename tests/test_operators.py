@@ -405,3 +405,37 @@ def test_rows_of_each_list_are_counted_by_the_write(spark):
     assert table.filter("lista = 'a'").count() == 2
     empty, seen = stage_counted(df.limit(0), "lists", by="lista", values=("a",))
     assert empty.count() == 0 and seen == {"rows": 0, "rows_a": 0}
+
+
+def test_long_names_that_begin_alike_pair_few(spark):
+    """120 unlike names of 70 characters with one beginning: blocks with one edit find each name's own spelling and
+    compare few others, down to the last floor."""
+    import random
+    rnd = random.Random(7)
+    cs = ["rua de " + "".join(rnd.choice("0123456789abcdef") for _ in range(63)) for _ in range(120)]
+    us = [c[:20] + "z" * 19 + c[39:] for c in cs] + [c[:30] + c[31:] for c in cs]
+
+    def keys(texts):
+        return spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "kid long, s string, l int")
+
+    b = M.block_size(64, 70, 0.7)
+    found = {(r.x_id, r.y_id) for r in M._block_pairs(keys(us[:120]), keys(cs), 0.7, b, True).collect()}
+    assert {(i, i) for i in range(120)} <= found and len(found) < 0.1 * 120 * 120
+    u, c = _names(spark, us, cs)
+    got = {(r.id_bairro, r.bairro_canonico_key) for r in M.fuzzy_candidates(u, c, MatchConfig(), 0.7).collect()}
+    assert got == {(i, c) for i, c in enumerate(cs + cs, 1)}
+
+
+@pytest.mark.parametrize("cap,longest,floor", [(64, 70, 0.7), (64, 500, 0.7), (64, 500, 0.8), (6, 90, 0.7), (1, 40, 0.55)])
+def test_blocks_fit_every_length(cap, longest, floor):
+    b = M.block_size(cap, longest, floor)
+    assert b >= 2
+    assert all(b * (M.max_edits(n, floor) // 2 + 1) <= n for n in range(cap + 1, longest + 1))
+
+
+def test_lost_character_at_the_end_of_a_long_name(spark):
+    """The last block lost a character, every other block holds two edits."""
+    c = "".join(chr(97 + i % 23) + str(i % 10) for i in range(35))[:70]
+    for at in (0, 1, 35, 68, 69):
+        u, cc = _names(spark, [c[:at] + c[at + 1:], c[:at] + "#" + c[at:], c[:at] + "#" + c[at + 1:]], [c])
+        assert M.fuzzy_candidates(u, cc, MatchConfig(), 0.7).count() == 3
