@@ -150,3 +150,24 @@ def test_every_branch_occurs(spark):
     done = Q["geocode_corrected_narrow_box"](spark, SF_SMOKE).collect()
     assert {r.geocode_status_final for r in done} >= {"found", "found_outside_bbox"} and {r.geocode_source_final for r in done} == {"manual review", "nominatim_osm"}
     assert Q["rules_duplicated_brands"](spark, SF_SMOKE).count() > 0
+
+
+def test_sheet_grows_by_files(spark, tmp_path, monkeypatch):
+    """No task sorts more than a file's rows, about: the files grow with the rows, whose numbers stay in order."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from casemart.plans import queries as Q
+    from casemart.session import checkpoint_dir
+    rows = spark.range(2000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") * 7 % 50).alias("l_partkey"),
+                                    F.lit(3).cast("long").alias("l_suppkey"), F.lit("1996-01-02").cast("timestamp").alias("l_shipdate"),
+                                    F.lit("N").alias("l_returnflag"))
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(Q, "SHEET_ROWS", 250)
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/sheet-*"))
+    out = Q.sheet_file_position(spark, str(tmp_path)).collect()
+    (sheet,) = set(glob.glob(f"{folder}/sheet-*")) - before
+    assert len(glob.glob(f"{sheet}/*.csv")) == 8
+    assert sorted((r.row_id, r.l_orderkey) for r in out) == [(i + 1, i) for i in range(2000)]
