@@ -96,3 +96,31 @@ def test_status_cascade_table(spark):
             if r.st == "manual_reference_point":
                 continue
             assert r.mm == r.m, r
+
+
+def test_cheap_paths_equal_the_patterns(spark):
+    """Normalization, integers and dates on texts that pass as they are and on those that do not."""
+    from casemart.functions import text as T
+    from casemart.functions.calendar import parse_date
+    rows = ["", " ", "a", "a b", "a  b", " \t a\tb ", "a\nb", "a\x0b\x0cb\r", "São  José", "ÁGUA\tFRIA", "ñandú", "ß  x", "1.234", "12", "-", "1-2",
+            " 7 ", "٣", "妹", "03/04/2020", "2020-04-03", "3/4/2020", "31/02/2020", "03/04", "a/b/c", None]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    trimmed = F.trim("t")
+    digits = F.regexp_replace(trimmed, r"[^0-9-]", "")
+    plain = F.upper(F.translate(trimmed, T.UPPER_PROFILE_ACCENTED, T.UPPER_PROFILE_PLAIN))
+    key = F.translate(F.lower(trimmed), T.LOWER_PROFILE_ACCENTED, T.LOWER_PROFILE_PLAIN)
+    got = df.select("t", T.normalize_text("t"), T.normalize_key("t"), T.clean_int("t"), parse_date("t")).collect()
+    want = df.select("t", F.regexp_replace(plain, r"\s+", " "), F.regexp_replace(key, r"\s+", " "),
+                     F.when(digits == "", F.lit(None)).otherwise(digits).try_cast("int"), F.try_to_date(trimmed, "dd/MM/yyyy")).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_a_case_is_cleaned_once(spark):
+    """The filter on places tests the trimmed cell: no cleaning is repeated below it."""
+    from casemart.operators import facts as FX
+    rows = [("a", "1", "5", " vila \t nova "), ("a", "2", "6", "  "), ("a", "3", "x", None), ("a", "4", "7", "\t"), ("b", "5", "8", "vila")]
+    raw = spark.createDataFrame(rows, "lista string, _c0 string, _c1 string, _c2 string")
+    out = FX.clean_linelists(raw, "lista", {"a": FX.ListLayout("dengue", age="_c1", sex="_c1", place="_c2")})
+    assert sorted((r.idade, r.bairro) for r in out.collect()) == [(5, "VILA NOVA"), (7, " ")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and ("translate" in line or "regexp_replace" in line)]
