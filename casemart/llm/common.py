@@ -10,17 +10,16 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 from functools import wraps
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casemart.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -37,24 +36,6 @@ def query(name: str):
     return deco
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package (once per application), so its Python
-    functions load there even where it is not installed."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix=f"{root.name}-")) / f"{root.name}.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(archive))     # Spark's file server hands it to the executors
-    _shipped.add(sc.applicationId)
-
-
 _kept: dict[str, dict] = {}
 
 

@@ -439,3 +439,64 @@ def test_lost_character_at_the_end_of_a_long_name(spark):
     for at in (0, 1, 35, 68, 69):
         u, cc = _names(spark, [c[:at] + c[at + 1:], c[:at] + "#" + c[at:], c[:at] + "#" + c[at + 1:]], [c])
         assert M.fuzzy_candidates(u, cc, MatchConfig(), 0.7).count() == 3
+
+
+def test_long_names_that_are_unlike_leave_no_pair(spark):
+    """300 unlike names of 70 characters: what the pieces pair by chance (some hundreds) ends in the task that finds it."""
+    import random
+    rnd = random.Random(8)
+    cs = ["rua de " + "".join(rnd.choice("0123456789abcdef") for _ in range(63)) for _ in range(300)]
+    us = [c[:20] + "z" * 19 + c[39:] for c in cs]
+
+    def keys(texts):
+        return spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "kid long, s string, l int")
+
+    found = M._block_pairs(keys(us), keys(cs), 0.7, M.block_size(64, 70, 0.7), True)
+    got = [(r.x_id, r.y_id) for r in found.collect()]
+    assert sorted(got) == [(i, i) for i in range(300)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan                        # only keys are dealt out
+
+
+@pytest.mark.parametrize("floor", [0.55, 0.7, 0.8, 0.93])
+@pytest.mark.parametrize("small", [False, True])
+def test_near_keys_lose_no_pair_and_give_each_once(monkeypatch, floor, small):
+    """Keys of mixed lengths and few letters, edited at random, against brute force; ``small``: many indexes, slices and batches."""
+    import random
+
+    from casemart.operators import blocks as B
+    if small:
+        for name, value in (("INDEX_PIECES", 600), ("SLICE", 50), ("CHECK", 300), ("PAIRS", 40), ("BATCH", 90)):
+            monkeypatch.setattr(B, name, value)
+    rnd = random.Random(f"{floor} {small}")
+    alphabet, cap = "aabç\U0001F600", 8
+
+    def edited(t, n):
+        for _ in range(n):
+            at = rnd.randrange(len(t) + 1)
+            t = rnd.choice((t[:at] + rnd.choice(alphabet) + t[at:], t[:at] + t[at + 1:], t[:at] + rnd.choice(alphabet) + t[at + 1:]))
+        return t
+
+    near = 0
+    for _ in range(6):
+        ys = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(6, 45))) for _ in range(14)]
+        xs = [edited(y, rnd.randint(0, max(1, M.max_edits(len(y), floor)))) for y in ys for _ in range(2)]
+        b = M.block_size(cap, max(map(len, xs + ys)), floor)
+        xs, ys = [x for x in xs if len(x) > cap], [y for y in ys if len(y) >= b - 1]
+        for equal in (True, False):
+            want = {(i, j) for i, x in enumerate(xs) for j, y in enumerate(ys)
+                    if len(y) <= len(x) - (not equal) and _lev(x, y) <= M.max_edits(len(x), floor)}
+            got = [(int(i), int(j)) for a, c in B.near_keys(xs, ys, floor, b, equal) for i, j in zip(a, c, strict=True)]
+            assert len(got) == len(set(got)) and want <= set(got)
+            assert all(len(ys[j]) <= len(xs[i]) - (not equal) for i, j in got)
+            near += len(want)
+    assert near > 20
+    assert list(B.near_keys([], ["abcdefghijkl"], floor, 2, True)) == list(B.near_keys(["abcdefghijkl"], [], floor, 2, True)) == []
+
+
+def test_tasks_of_long_names_stay_bounded():
+    for x, y in ((0, 0), (70, 70), (10 ** 6, 10 ** 5), (10 ** 8, 25 * 10 ** 6), (10, 10 ** 9), (10 ** 9, 10), (10 ** 10, 10 ** 9)):
+        nx, ny = M._cells(x, y, 8)
+        assert x / nx <= M.CELL_CHARS and y / ny <= M.CELL_CHARS and x * y / (nx * ny) <= M.CELL_WORK
+        assert nx * ny >= min(32, x * y // M.SMALL_WORK)
+    assert M._cells(0, 0, 8) == M._cells(70, 70, 8) == (1, 1)
