@@ -212,12 +212,13 @@ def near_keys(xs: list[str], ys: list[str], floor: float, b: int, equal: bool) -
                 blocks = x[np.arange(len(x))[:, None, None], at[:, :, None] + np.arange(b)]
                 chars = [blocks[:, :, q].astype(np.uint64).ravel() for q in range(b)]
                 whole = _hash(chars, b + 2)
-                found = []
+                seen, found = np.zeros(len(x) * len(w.starts), bool), []
                 for n, window in w.find(np.concatenate([_hash(chars[:p] + chars[p + 1:], tag) for tag, p in x_tags])):
                     n %= len(whole)                 # the block
                     y, move = w.row[window], w.place[window] - at.ravel()[n]
                     delta = w.lengths[y] - lx
-                    fits = np.flatnonzero((delta <= (0 if equal else -1)) & (delta >= -k) & (2 * move >= delta - k) & (2 * move <= delta + k))
+                    fits = np.flatnonzero((delta <= (0 if equal else -1)) & (delta >= -k) & (2 * move >= delta - k) & (2 * move <= delta + k)
+                                          & ~seen[n // need * len(w.starts) + y])
                     n, y, window = n[fits], y[fits], window[fits]
                     # a block that meets a key in several windows or pieces is followed once, from its fewest edits
                     met = np.sort((n * len(w.starts) + y) * 2 + (w.whole[window] != whole[n]))
@@ -225,8 +226,10 @@ def near_keys(xs: list[str], ys: list[str], floor: float, b: int, equal: bool) -
                     n, y = np.divmod(met >> 1, len(w.starts))
                     xn, i = n // need, n % need
                     kept = _follow(w, blocks, at, int(lx), k, xn, i, y, (met & 1).astype(np.uint8))
-                    found.append(np.unique(xn[kept] * len(w.starts) + y[kept]))
+                    pairs = np.unique(xn[kept] * len(w.starts) + y[kept])
+                    seen[pairs] = True
+                    found.append(pairs)
                 if found:
-                    pairs = np.unique(np.concatenate(found))
+                    pairs = np.concatenate(found)
                     yield mine[pairs // len(w.starts)], first + pairs % len(w.starts)
         w = None                # before the next index is built

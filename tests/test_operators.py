@@ -500,3 +500,15 @@ def test_tasks_of_long_names_stay_bounded():
         assert x / nx <= M.CELL_CHARS and y / ny <= M.CELL_CHARS and x * y / (nx * ny) <= M.CELL_WORK
         assert nx * ny >= min(32, x * y // M.SMALL_WORK)
     assert M._cells(0, 0, 8) == M._cells(70, 70, 8) == (1, 1)
+
+
+def test_names_near_all_others_are_followed_once(monkeypatch):
+    """60 names that differ in their last digits: a pair that is found is not followed again from its other blocks."""
+    from casemart.operators import blocks as B
+    names = [f"conjunto habitacional nossa senhora aparecida jardim das palmeiras setor norte {i:03d}" for i in range(60)]
+    followed, follow = [], B._follow
+    monkeypatch.setattr(B, "SLICE", 2000)
+    monkeypatch.setattr(B, "_follow", lambda *a: followed.append(len(a[6])) or follow(*a))
+    got = [p for i, j in B.near_keys(names, names, 0.7, M.block_size(64, 82, 0.7), True) for p in zip(i.tolist(), j.tolist(), strict=True)]
+    assert sorted(got) == [(i, j) for i in range(60) for j in range(60)]
+    assert sum(followed) <= 2 * 60 * 60
